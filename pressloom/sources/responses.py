@@ -62,20 +62,23 @@ def rejected_responses(responses: DataFrame) -> DataFrame:
     )
 
 
+def source_name(name: Column) -> Column:
+    """A missing or empty source becomes ``Unknown``; a blank one becomes empty."""
+    return strip(F.coalesce(F.nullif(name, F.lit("")), F.lit(UNKNOWN_SOURCE)))
+
+
 def project_articles(raw: DataFrame) -> DataFrame:
     """Raw records to article columns; run the validity filter first, it looks at raw values.
 
-    A missing or empty source becomes ``Unknown``; a blank one becomes empty. Other columns
-    of ``raw`` pass through.
+    Other columns of ``raw`` pass through.
     """
-    named = F.coalesce(F.nullif(F.col("source_name"), F.lit("")), F.lit(UNKNOWN_SOURCE))
     kept = [c for c in raw.columns if c not in ("title", "description", "url", "source_name", "published_at")]
     return raw.select(
         *[c for c in kept if c != "image_url"],
         strip(F.col("title")).alias("title"),
         strip_or_empty(F.col("description")).alias("description"),
         strip(F.col("url")).alias("url"),
-        strip(named).alias("source"),
+        source_name(F.col("source_name")).alias("source"),
         F.coalesce(F.col("published_at"), F.lit("")).alias("published_at"),
         *[c for c in kept if c == "image_url"],
     )
