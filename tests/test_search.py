@@ -1,0 +1,102 @@
+from collections import defaultdict
+from datetime import date, datetime, timedelta, timezone
+
+from pyspark.sql import functions as F
+
+from pressloom.issue import Issue
+from pressloom.operators import ordering, quality, search
+
+GROUPS = (("paint booth", "spray booth"), ("paint VOC",), ("absent",))
+
+
+def articles(spark, rows):
+    schema = "seq bigint, title string, description string, url string, published_at string, lang string"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_match_groups(spark):
+    rows = [
+        (1, "Paint Booth and SPRAY BOOTH", "a paint booth", "u", "", "en"),
+        (2, "paint", "booth", "u", "", "en"),
+        (3, "Low paint voc", None, "u", "", "en"),
+        (4, None, "spray booth, Paint VOC, paint voc", "u", "", "en"),
+    ]
+    got = {(r.seq, r.group_idx): r.hits for r in search.match_groups(articles(spark, rows), GROUPS).collect()}
+    assert got == {(1, 0): 3, (3, 1): 1, (4, 0): 1, (4, 1): 2}
+
+
+def test_window_is_in_utc_and_the_issue_in_report_time(spark):
+    issue = Issue(datetime(2026, 3, 1, 20, 0, tzinfo=timezone.utc))
+    assert (issue.window_start, issue.window_end, issue.issue_date) == (date(2026, 2, 22), date(2026, 3, 1), date(2026, 3, 2))
+    assert Issue(datetime(2026, 3, 2, 5, tzinfo=timezone(timedelta(hours=9)))) .issue_date == date(2026, 3, 2)
+    times = ["2026-02-21T23:59:59Z", "2026-02-22T00:00:00Z", "2026-03-01T23:59:59Z", "2026-03-02T00:00:00Z", "soon", "2026-03-02T01:00:00+09:00"]
+    df = articles(spark, [(i, "t", "d", "u", t, "en") for i, t in enumerate(times)])
+    assert sorted(r.seq for r in search.date_window(df, issue).collect()) == [1, 2, 5]
+    assigned = search.assign_issues(df, [issue, Issue(datetime(2026, 3, 4))]).collect()
+    assert sorted((r.seq, r.issue_date) for r in assigned) == [
+        (1, date(2026, 3, 2)), (2, date(2026, 3, 2)), (2, date(2026, 3, 4)), (3, date(2026, 3, 4)),
+        (5, date(2026, 3, 2)), (5, date(2026, 3, 4))]
+
+
+def test_stored_dates_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(40).select("id", F.date_add(F.lit("2026-02-01"), F.col("id").cast("int")).alias("day")).write.partitionBy("day").parquet(path)
+    window = search.date_window(spark.read.parquet(path), Issue(datetime(2026, 2, 20)), "day")
+    assert window.count() == 8
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_language_and_domains(spark):
+    rows = [(1, "t", "d", "https://netflix.com/x", "", "en"), (2, "t", "d", "https://m.x.com/", "", "en"), (3, "t", "d", None, "", "de")]
+    df = articles(spark, rows)
+    assert [r.seq for r in search.in_language(df).collect()] == [1, 2]
+    assert sorted(r.seq for r in search.exclude_domains(df).collect()) == [1, 3]
+
+
+def ranked_rows():
+    rows = []
+    for i in range(400):
+        group = 0 if i % 3 else i % 7
+        rows.append((i, group, i % 4, f"2026-02-{1 + i % 28:02d}T00:00:00Z" if i % 5 else "?"))
+    return rows
+
+
+def test_top_k_matches_a_plain_sort_for_a_dominant_group(spark):
+    df = spark.createDataFrame(ranked_rows(), "seq bigint, group_idx int, hits int, published_at string")
+    groups = defaultdict(list)
+    for seq, group, hits, when in ranked_rows():
+        groups[group].append((-hits, [-ord(c) for c in when] if when != "?" else [1], seq))
+    want = {(g, n + 1, r[2]) for g, rs in groups.items() for n, r in enumerate(sorted(rs)[:10])}
+    for parts in (1, 13):
+        got = search.most_relevant(ordering.with_instant(df.repartition(parts)))
+        assert {(r.group_idx, r.rank, r.seq) for r in got.collect()} == want
+    seqs = [r.seq for r in search.in_list_order(got.withColumn("a", F.col("seq"))).orderBy("group_idx", "rank").collect()]
+    assert seqs == sorted(set(seqs))
+
+
+def test_every_task_limits_its_groups_before_the_shuffle(spark):
+    df = spark.createDataFrame(ranked_rows(), "seq bigint, group_idx int, hits int, published_at string")
+    plan = search.most_relevant(ordering.with_instant(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_sort_is_stable_and_numbers_all_rows(spark):
+    rows = [(i, f"2026-02-{1 + i % 9:02d}T0{i % 3}:00:00Z" if i % 4 else "unknown") for i in range(500)]
+    df = spark.createDataFrame(rows, "seq bigint, published_at string").repartition(7)
+    readable = sorted((r for r in rows if r[1] != "unknown"), key=lambda r: r[1], reverse=True)
+    want = [r[0] for r in readable + [r for r in rows if r[1] == "unknown"]]
+    got = ordering.sort_newest(df).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(1, 501))
+    assert [r.seq for r in got] == want
+    top = ordering.top_k(ordering.with_instant(df), ordering.newest_first())
+    assert [r.seq for r in top.orderBy("position").collect()] == want[:20]
+
+
+def test_funnel_and_observed_counts(spark):
+    df = spark.createDataFrame([(g, g != 2) for g in (0, 0, 1, 2, 2, 2)], "g int, ok boolean")
+    got = {r.stage: r.n for r in quality.funnel_counts(df, "g", {"all": F.lit(True), "ok": F.col("ok")}).collect()}
+    assert got == {"group_0": 2, "group_1": 1, "group_2": 3, "all": 6, "ok": 3}
+    seen, watch = quality.observed(df, "rows")
+    seen.collect()
+    assert watch.get == {"n": 6}
