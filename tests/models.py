@@ -1,0 +1,55 @@
+"""Plain sequential statements of what the distributed operators must compute."""
+
+import json
+from difflib import SequenceMatcher
+
+
+def ratio(later, earlier):
+    return SequenceMatcher(None, later.lower(), earlier.lower()).ratio()
+
+
+def survivors(rows, threshold=0.75):
+    """rows: (seq, title, url); the list of kept seq."""
+    urls, kept = set(), []
+    for seq, title, url in sorted(rows):
+        name = url.rstrip("/").lower()
+        if name not in urls and not any(ratio(title, other) >= threshold for _, other in kept):
+            urls.add(name)
+            kept.append((seq, title))
+    return [seq for seq, _ in kept]
+
+
+def unfence(text):
+    text = text.strip()
+    if not text.startswith("```"):
+        return text
+    lines = []
+    for line in text.split("\n")[1:]:
+        if line.startswith("```"):
+            break
+        lines.append(line)
+    return "\n".join(lines)
+
+
+KNOWN = ("equipment", "technology", "automotive", "regulation", "market", "company", "other")
+
+
+def enriched(title, description, attempts):
+    """attempts: {number: (outcome, text)} -> (title_ja, summary_ja, category)."""
+    for number in (1, 2, 3):
+        outcome, text = attempts.get(number, ("none", None))
+        if outcome != "ok" or text is None:
+            continue
+        try:
+            reply = json.loads(unfence(text))
+        except ValueError:
+            continue
+        if not isinstance(reply, dict):
+            continue
+        category = reply.get("category", "other")
+        return (
+            reply.get("title_ja", title),
+            reply.get("summary_ja", description or "（要約なし）"),
+            category if category in KNOWN else "other",
+        )
+    return title, description or "（翻訳に失敗しました）", "other"

@@ -1,0 +1,106 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from pressloom.issue import Issue
+from pressloom.operators import report
+
+# Category and time of each article, in order, of three issues.
+ISSUES = {
+    date(2026, 2, 22): [("equipment", "2026-02-20T10:00:00Z"), ("regulation", "2026-02-19T08:00:00Z"), ("market", "2026-02-18T14:00:00Z")],
+    date(2026, 2, 23): [("market", "2026-02-20T15:00:00Z")] * 2
+    + [("other", "2026-02-19T10:00:00Z"), ("equipment", "2026-02-18T16:04:00Z")]
+    + [("market", "2026-02-18T09:00:00Z")] * 3
+    + [("other", "someday")],
+    date(2026, 3, 2): [("other", "2026-02-27T12:30:15Z")] * 4
+    + [("equipment", "2026-02-24T07:03:36Z")] * 2
+    + [("technology", "2026-02-24T00:03:00Z"), ("other", "2026-02-23T21:14:09Z"), ("other", "2026-02-22T14:00:00Z")],
+}
+
+
+@pytest.fixture(scope="module")
+def articles(spark):
+    rows = [
+        (day, i + 1, f"題{i + 1}", "要約", "Daily & Co", when, f"http://a/{i}", category)
+        for day, items in ISSUES.items()
+        for i, (category, when) in enumerate(items)
+    ]
+    schema = "issue_date date, position bigint, title_ja string, summary_ja string, source string, published_at string, url string, category string"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+def test_counts_keep_zeros_and_order(articles):
+    rows = report.category_counts(articles).collect()
+    assert len(rows) == 21
+    march = sorted((r.cat_ord, r.category, r.label, r.n) for r in rows if r.issue_date == date(2026, 3, 2))
+    assert [(c, n) for _, c, _, n in march] == [
+        ("equipment", 2), ("technology", 1), ("automotive", 0), ("regulation", 0), ("market", 0), ("company", 0), ("other", 6)]
+    assert march[0][2] == "塗装設備"
+    badges = report.category_badges(articles).filter(F.col("issue_date") == date(2026, 2, 23)).orderBy("cat_ord").collect()
+    assert [(r.category, r.n) for r in badges] == [("equipment", 1), ("market", 5), ("other", 2)]
+
+
+def test_a_category_outside_the_list_is_counted_nowhere(articles):
+    strange = articles.withColumn("category", F.lit("sports"))
+    assert report.category_counts(strange).agg(F.sum("n")).first()[0] == 0
+    assert [r.categories for r in report.digest_category_text(strange).collect()] == ["", "", ""]
+
+
+def test_cards(articles):
+    cards = {(str(r.issue_date), r.position): r for r in report.article_cards(articles).collect()}
+    assert cards["2026-03-02", 8].published_label == "2026年02月24日"
+    assert cards["2026-02-23", 4].published_label == "2026年02月19日"
+    assert cards["2026-02-23", 8].published_label == "someday"
+    assert (cards["2026-02-23", 4].label, cards["2026-02-23", 4].source) == ("塗装設備", "Daily & Co")
+
+
+def test_header(articles):
+    header = {r.issue_date: r for r in report.issue_header(articles).collect()}[date(2026, 3, 2)]
+    assert header.asDict() == {
+        "issue_date": date(2026, 3, 2), "issue_label": "2026年03月02日", "period_start": "2026/02/23",
+        "period_end": "2026/03/02", "year": 2026, "total_articles": 9}
+
+
+def test_notification(articles):
+    rows = {r.issue_date: r for r in report.digest_row(articles, "https://example.org/news//", "News").collect()}
+    row = rows[date(2026, 2, 23)]
+    assert row.subject == "News 2026年02月23日号 — 8件の記事"
+    assert row.report_url == "https://example.org/news/weekly-news-2026-02-23.html"
+    assert row.categories == "塗装設備: 1件 ｜ 市場動向: 5件 ｜ その他: 2件"
+    texts = {r.issue_date: r.categories for r in report.digest_category_text(articles).collect()}
+    assert texts == {day: rows[day].categories for day in ISSUES}
+
+
+def test_preview(articles):
+    rows = report.digest_preview(articles).orderBy("issue_date", "position").collect()
+    by_issue = {day: [(r.position, r.title_ja, r.remaining) for r in rows if r.issue_date == day] for day in ISSUES}
+    assert by_issue[date(2026, 2, 22)] == [(i, f"題{i}", 0) for i in (1, 2, 3)]
+    assert by_issue[date(2026, 3, 2)] == [(i, f"題{i}", 4) for i in (1, 2, 3, 4, 5)]
+
+
+def test_no_articles_no_issue(articles):
+    nothing = articles.filter("false")
+    for table in (report.category_counts, report.issue_header, report.digest_preview, report.digest_category_text, report.article_cards):
+        assert table(nothing).count() == 0
+
+
+def test_archive_index(spark):
+    names = ["weekly-news-2026-02-22", "weekly-news-2026-03-02", "weekly-news-2026-2-3", "weekly-news-extra", "weekly-news-2026-02-31", "notes", "weekly-news-2026-02-22"]
+    rows = report.archive_index(spark.createDataFrame([(n,) for n in names], "name string")).collect()
+    assert [(r.file_name, r.display_date) for r in rows] == [
+        ("weekly-news-extra.html", "extra"),
+        ("weekly-news-2026-2-3.html", "2026年02月03日号"),
+        ("weekly-news-2026-03-02.html", "2026年03月02日号"),
+        ("weekly-news-2026-02-31.html", "2026-02-31"),
+        ("weekly-news-2026-02-22.html", "2026年02月22日号"),
+    ]
+
+
+def test_issue_key(spark):
+    moments = ["2026-03-01 14:59:59", "2026-03-01 15:00:00"]
+    df = spark.createDataFrame([(m,) for m in moments], "m string").select(F.to_timestamp("m").alias("m"))
+    keys = [r.k for r in df.orderBy("m").select(report.issue_key(F.col("m")).alias("k")).collect()]
+    assert keys == [date(2026, 3, 1), date(2026, 3, 2)]
+    assert keys == [Issue(datetime.fromisoformat(m)).issue_date for m in moments]
+    assert Issue(datetime.fromisoformat(moments[1])).name == "weekly-news-2026-03-02"
