@@ -100,11 +100,11 @@ def dedup_url(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def title_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return titles.similar_title_pairs(src.articles(spark, sf))
+    return titles.first_similar_titles(src.articles(spark, sf))
 
 
 def title_pairs_lsh(spark: SparkSession, sf: str) -> DataFrame:
-    return titles.similar_title_pairs_lsh(src.articles(spark, sf))
+    return titles.first_similar_titles_lsh(src.articles(spark, sf))
 
 
 def dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
