@@ -103,10 +103,6 @@ def title_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return titles.first_similar_titles(src.articles(spark, sf))
 
 
-def title_pairs_lsh(spark: SparkSession, sf: str) -> DataFrame:
-    return titles.first_similar_titles_lsh(src.articles(spark, sf))
-
-
 def dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.drop_near_duplicates(src.with_url_copies(spark, sf)).select("seq", "title", "url")
 
@@ -242,7 +238,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "url_norm": url_norm,
     "dedup_url": dedup_url,
     "title_pairs": title_pairs,
-    "title_pairs_lsh": title_pairs_lsh,
     "dedup_greedy": dedup_greedy,
     "parse_published": parse_published,
     "sort_newest": sort_newest,
