@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,6 +54,7 @@ def occurrences(text: Column, phrase: str) -> Column:
 
 # Date, then optionally 'T' or a space, a time of day and an offset.
 _EXTENDED = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+_USUAL = r"^(?!0000)\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
 _OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
@@ -76,8 +77,13 @@ def parse_instant(text: Column) -> Column:
 
     The accepted forms are checked first, because Spark's own cast takes more than ISO
     (a bare year, a bare time of day). A text without an offset is read as UTC. Week
-    dates (``2026-W08-5``) give null.
+    dates (``2026-W08-5``) give null. The usual spelling takes a path of its own, one pattern and
+    one parse per row.
     """
+    return F.when(text.rlike(_USUAL), F.try_to_timestamp(text)).otherwise(_parse_unusual(text))
+
+
+def _parse_unusual(text: Column) -> Column:
     iso = F.when(text.rlike(r"^\d{8}"), _with_separators(text)).otherwise(text)
     iso = F.replace(iso, F.lit(","), F.lit("."))
     full = _with_seconds(iso)
@@ -118,15 +124,24 @@ def published_label(published_at: Column) -> Column:
     return F.coalesce(japanese_date(report_date(parse_instant(published_at))), published_at)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip_fence(text: Column) -> Column:
     """Content of a text wrapped in a ``` code fence; other texts only lose outer blanks.
 
     The opening line is skipped with whatever follows the ticks; lines are taken up to the
     next line that starts with ticks, or to the end.
     """
-    body = strip(text)
-    lines = F.split(body, "\n")
-    rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
-    closing = F.array_position(F.transform(rest, lambda line: F.startswith(line, F.lit("```"))), F.lit(True))
-    inner = F.when(closing > 0, F.slice(rest, F.lit(1), (closing - 1).cast("int"))).otherwise(rest)
-    return F.when(F.startswith(body, F.lit("```")), F.array_join(inner, "\n")).otherwise(body)
+
+    def is_ticks(line: Column) -> Column:
+        return F.startswith(line, F.lit("```"))
+
+    def content(lines: Column) -> Column:
+        rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+        closing = F.array_position(F.transform(rest, is_ticks), F.lit(True)).cast("int")
+        return F.array_join(F.when(closing > 0, F.slice(rest, F.lit(1), closing - 1)).otherwise(rest), "\n")
+
+    return _bound(strip(text), lambda body: F.when(is_ticks(body), _bound(F.split(body, "\n"), content)).otherwise(body))

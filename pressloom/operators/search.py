@@ -9,6 +9,7 @@ window dates are included whole.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,22 +68,17 @@ def date_window(articles: DataFrame, issue: Issue, date_column: str | None = Non
 def assign_issues(articles: DataFrame, issues: Sequence[Issue], date_column: str | None = None) -> DataFrame:
     """One row per article and issue whose window holds it, with ``issue_date``.
 
-    Lets one plan build many issues. Windows of neighbouring issues may overlap.
+    Lets one plan build many issues. Windows of neighbouring issues may overlap. The windows
+    become a calendar of ``(day, issue_date)``, a handful of rows per issue that was asked for,
+    so it is broadcast; the outer dates of all windows still prune the scan.
     """
+    days = {(i.window_start + timedelta(n), i.issue_date) for i in issues for n in range(i.days + 1)}
+    calendar = articles.sparkSession.createDataFrame(sorted(days), "_day date, issue_date date")
     first, last = min(i.window_start for i in issues), max(i.window_end for i in issues)
-    day = _published_date(date_column)
-    hit = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col("_day").between(F.lit(i.window_start), F.lit(i.window_end)), F.lit(i.issue_date))
-                for i in issues
-            ]
-        )
-    )
     return (
-        articles.withColumn("_day", day)
+        articles.withColumn("_day", _published_date(date_column))
         .filter(F.col("_day").between(F.lit(first), F.lit(last)))
-        .withColumn("issue_date", F.explode(F.array_distinct(hit)))
+        .join(F.broadcast(calendar), "_day")
         .drop("_day")
     )
 
