@@ -1,0 +1,25 @@
+import os
+import subprocess
+import sys
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SCRIPT = f"""
+import sys
+sys.path.insert(0, {REPO!r})
+import __spark_entry__ as contract
+from pyspark.sql import SparkSession
+
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+queries = contract.queries()
+for name in ("parse_response", "dedup_greedy"):
+    print(name, queries[name](spark, "/root/testdata/sf0.001").count())
+"""
+
+
+def test_workers_need_no_import_path(tmp_path):
+    """The driver imports the package from a folder its Python workers know nothing of."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", SCRIPT], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    counts = dict(line.split() for line in run.stdout.splitlines() if line.startswith(("parse_", "dedup_")))
+    assert int(counts["parse_response"]) > int(counts["dedup_greedy"]) > 0
