@@ -103,6 +103,12 @@ def title_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return titles.first_similar_titles(src.articles(spark, sf))
 
 
+def title_pairs_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search over a larger table: the first lines of all documents."""
+    line = F.substring_index("text", "\n", 1).alias("title")
+    return titles.first_similar_titles(src.table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), line))
+
+
 def dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.drop_near_duplicates(src.with_url_copies(spark, sf)).select("seq", "title", "url")
 
@@ -238,6 +244,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "url_norm": url_norm,
     "dedup_url": dedup_url,
     "title_pairs": title_pairs,
+    "title_pairs_documents": title_pairs_documents,
     "dedup_greedy": dedup_greedy,
     "parse_published": parse_published,
     "sort_newest": sort_newest,
