@@ -43,7 +43,7 @@ _VALID = f"""(
 
 _COPIES = f"""{_ARTICLES}, copies AS (
   SELECT seq, title, url FROM articles
-  UNION ALL SELECT seq + 1000000000, title, upper(url) || '//' FROM articles)"""
+  UNION ALL SELECT seq + 1000000000000, title, upper(url) || '//' FROM articles)"""
 
 _SPELT = f"""{_ARTICLES}, spelt AS (
   SELECT seq, CASE seq % 8

@@ -107,7 +107,7 @@ def response_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_url_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All articles, then all of them again under a URL that differs in case and slashes."""
     base = articles(spark, sf_dir)
-    offset = 1_000_000_000
+    offset = 1_000_000_000_000
     copies = base.withColumn("seq", F.col("seq") + offset).withColumn("url", F.concat(F.upper("url"), F.lit("//")))
     return base.unionByName(copies)
 
