@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.shared import map_arrow, utf8
-from pressloom.llm.words import ALNUM, Words, slices
+from pressloom.llm.shared import map_arrow, received, send, utf8
+from pressloom.llm.words import ALNUM, Words, of_text, slices
 
 WINDOW, GRAM = 10, 5
 #: Benchmarks up to this many words are sent to every worker; larger ones meet in a shuffled join.
@@ -116,7 +116,7 @@ class Index:
         """Which words of one text lie in a shared window, and the items those windows are of."""
         n = len(hashes)
         depth, items = np.zeros(n + 1, np.int64), set()
-        words = Words(0, hashes, np.array([0, n]))
+        words = of_text(hashes)
         for m, keys in self.keys.items():
             grams, whole = words.grams(m)
             at = np.flatnonzero(whole)
@@ -166,14 +166,14 @@ def overlaps(
         index = Index(window, k)
         table = items.toArrow()
         index.add(table["item_id"].to_pylist(), table["text"].combine_chunks())
-        sent = spark.sparkContext.broadcast(index.build())
+        sent = send(spark, index.build())
         return _by_broadcast(docs, sent)
     return _by_join(docs, items, window, k)
 
 
 def _by_broadcast(docs: DataFrame, sent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        index = sent.value
+        index = received(sent)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for words in slices(batch.column(1), ALNUM):

@@ -5,20 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, token_count
+from pressloom.llm import decontaminate, language, pack, token_count
 from pressloom.llm.shared import documents
 
 
+def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
+    return pack.packed(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf), documents(spark, sf, "benchmark"))
 
 
+def op8_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identified(documents(spark, sf))
+
+
 def op9_token_count(spark: SparkSession, sf: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {
+    "op4_pack": op4_pack,
     "op6_decontaminate": op6_decontaminate,
+    "op8_language": op8_language,
     "op9_token_count": op9_token_count,
 }
 ORACLES: dict[str, str] = {}

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,15 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+def send(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast objects of this package's classes to workers that cannot import it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return cloudpickle.loads(sent.value)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back from there."""
     spark = df.sparkSession

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     def run(base: int) -> np.ndarray:
         out = np.ones(1 << bits, np.uint64)
@@ -79,18 +77,26 @@ def slices(texts: pa.Array, codes: np.ndarray, most: int = SLICE_BYTES) -> Itera
     _, offsets, data = texts.buffers()
     ends = np.frombuffer(offsets, size)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    row = 0
+    row, powers = 0, _powers(min(most, len(raw)).bit_length())
     while row < len(texts):
         stop = max(row + 1, int(np.searchsorted(ends, ends[row] + most, "right")) - 1)
-        yield _words(row, raw[ends[row] : ends[stop]], ends[row : stop + 1] - ends[row], codes)
+        size = int(ends[stop] - ends[row])
+        if size > len(powers[0]):
+            powers = _powers(size.bit_length())
+        yield _words(row, raw[ends[row] : ends[stop]], ends[row : stop + 1] - ends[row], codes, powers)
         row = stop
 
 
-def _words(row: int, raw: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> Words:
+def of_text(hashes: np.ndarray) -> Words:
+    """One text whose words are hashed already."""
+    return Words(0, hashes, np.array([0, len(hashes)]))
+
+
+def _words(row: int, raw: np.ndarray, ends: np.ndarray, codes: np.ndarray, powers: tuple) -> Words:
     n = len(raw)
     if n == 0:
         return Words(row, np.zeros(0, np.uint64), np.zeros(len(ends), np.int64))
-    power, inverse = _powers(max(n, SLICE_BYTES).bit_length())
+    power, inverse = powers
     value = codes[raw]
     inside = value != 0
     edge = np.zeros(n + 1, bool)  # where a text ends, a word ends too
