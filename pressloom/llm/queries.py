@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, language, pack, token_count
+from pressloom.llm import decontaminate, language, ngram_join, pack, token_count
 from pressloom.llm.shared import documents
 
 
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.clusters(documents(spark, sf), 4, 85)
+
+
 def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
     return pack.packed(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -26,6 +30,7 @@ def op9_token_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op4_pack": op4_pack,
     "op6_decontaminate": op6_decontaminate,
     "op8_language": op8_language,
