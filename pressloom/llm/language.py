@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.shared import map_arrow, received, send, utf8
+from pressloom.llm.shared import dropped, map_arrow, received, send, stored, utf8
 from pressloom.llm.words import SLICE_BYTES, mix
 
 GRAM = 4
@@ -149,6 +149,7 @@ def learn(
     # Per n-gram a map of its few languages, in place of a join with the highest rate.
     by_gram = counted.groupBy("gram").agg(F.collect_list(F.struct("lang", "n", "rate")).alias("in"), F.max("rate").alias("top"))
     kept = by_gram.select("gram", "top", F.explode("in").alias("in")).filter((F.col("in.rate") * 10 >= F.col("top")) & (F.col("in.n") > 1))
+    kept = stored(kept)
     for i, language in enumerate(languages):
         best = kept.filter(F.col("in.lang") == language).orderBy(F.desc("in.n"), "gram").limit(per_language)
         keys = np.asarray(best.select("gram").toArrow()["gram"], dtype=np.int64)
@@ -157,6 +158,7 @@ def learn(
             own[at] = True
         masks[i // 64][own] |= kind(1 << i % 64)
         false[i] = own.mean() ** probes
+    dropped(kept)
     common = max(languages, key=lambda k: (sizes[k], k))
     return Filter(languages, common, masks, false, bits, probes)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, language, ngram_join, pack, token_count
+from pressloom.llm import decontaminate, language, ngram_join, pack, pii, quality_rules, token_count
 from pressloom.llm.shared import documents
 
 
@@ -13,6 +13,16 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.clusters(documents(spark, sf), 4, 85)
 
 
+def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    rows = quality_rules.scored(documents(spark, sf))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rows.select("doc_id", *base, "quality")
+
+
+def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.report(documents(spark, sf))
+
+
 def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
     return pack.packed(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -31,6 +41,8 @@ def op9_token_count(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_pii": op3_pii,
     "op4_pack": op4_pack,
     "op6_decontaminate": op6_decontaminate,
     "op8_language": op8_language,
