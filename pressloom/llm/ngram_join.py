@@ -13,6 +13,8 @@ The output is components, so no pair within a known component is looked at:
 1. Equal sets are one class with one fingerprint (64 bits), and only classes go on.
 2. In every list of a posted shingle, the class with the fewest rare shingles leads, and the others
    are verified against leaders only. This links groups of near copies in linear work.
+   Before whole sets are fetched, pairs are ruled out by parity bitmaps: the bits in which two differ
+   are at most as many as the shingles in which the sets differ.
 3. Lists that still span several components yield the pairs between components; they are counted,
    verified and linked. Lists too long for that are cut into blocks of bounded size, and every two
    blocks are compared in one task by a matrix product, exactly.
@@ -45,6 +47,9 @@ EXTENSIONS, VERIFY_COST = (1, 2, 3, 4, 6, 8), 8
 #: A list of up to so many classes is joined with itself; longer ones are compared in blocks.
 LIST, BLOCK_BYTES, LEAST_BYTES = 64, 8 << 20, 8192
 
+#: Up to so many documents to be fetched are picked by a broadcast of their ids, more by a join.
+BROADCAST_ROWS = 1_000_000
+
 _SIZE = (1 << 28) - 1
 
 
@@ -65,6 +70,21 @@ def fingerprint(shingles: np.ndarray) -> int:
     return int(mix(np.asarray([total ^ np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """A bitmap of two bits a shingle or more, a power of two in all; each shingle flips one bit."""
+    bits = 1 << max(6, (2 * len(shingles) - 1).bit_length())
+    at = (shingles >> np.uint64(24)) & np.uint64(bits - 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits in which two parity bitmaps differ, the larger folded to the size of the smaller."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, size), 0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _profiles(docs: DataFrame, k: int, bits: int) -> DataFrame:
     """doc_id, n and fp per row; one more row per task with its sketch."""
 
@@ -82,13 +102,14 @@ def _profiles(docs: DataFrame, k: int, bits: int) -> DataFrame:
                     "doc_id": batch.column(0).slice(words.row, len(sets)),
                     "n": [len(s) for s in sets],
                     "fp": [fingerprint(s) for s in sets],
+                    "parity": [parity(s) for s in sets],
                     "sketch": [None] * len(sets),
                 }
         _count(sketch, waiting)
-        yield {"doc_id": [None], "n": [int(sketch.sum(dtype=np.int64))], "fp": [0], "sketch": [zlib.compress(sketch.tobytes(), 1)]}
+        yield {"doc_id": [None], "n": [int(sketch.sum(dtype=np.int64))], "fp": [0], "parity": [None], "sketch": [zlib.compress(sketch.tobytes(), 1)]}
 
     source = docs.select("doc_id", utf8("text").alias("text"))
-    return stored(map_arrow(source, run, "doc_id long, n long, fp long, sketch binary"))
+    return stored(map_arrow(source, run, "doc_id long, n long, fp long, parity binary, sketch binary"))
 
 
 def _count(sketch: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -106,10 +127,9 @@ def _sketch(profiles: DataFrame, bits: int) -> np.ndarray:
     return parts.map(lambda r: np.frombuffer(zlib.decompress(bytes(r[0])), np.uint32)).treeReduce(_add) if not parts.isEmpty() else np.zeros(1 << bits, np.uint32)
 
 
-def prefix(shingles: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+def prefix(shingles: np.ndarray, sketch: np.ndarray, load: float, percent: int) -> tuple[np.ndarray, int]:
     """The posted shingles of a set, and its rare ones in 1/127 of all."""
     n = len(shingles)
-    load = float(sketch.mean())
     seen = sketch[(shingles & np.uint64(len(sketch) - 1)).astype(np.int64)].astype(float)
     # Rare shingles are one class, in order of their hashes; frequent ones follow in powers of two.
     level = np.where(seen <= 4 * load + 8, 0, np.log2(np.maximum(seen, 1)).astype(np.int64))
@@ -135,6 +155,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         counts, known = received(sent), set()
+        load = float(counts.mean())
         for batch in batches:
             for words in slices(batch.column(0), SPACED):
                 token, fp, meta = [], [], []
@@ -146,7 +167,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
                         continue
                     if len(known) < 1 << 20:
                         known.add(key)
-                    posted, rare = prefix(own, counts, percent)
+                    posted, rare = prefix(own, counts, load, percent)
                     token.append(posted.view(np.int64))
                     fp.append(np.full(len(posted), key))
                     meta.append(np.full(len(posted), rare << 56 | len(own) << 28 | len(posted)))
@@ -211,20 +232,29 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return small * 100 >= large * percent
 
 
+def _overlap(a: str, b: str, percent: int) -> Column:
+    """Shingles that a similar pair shares at least."""
+    return F.ceil((_set_size(a) + _set_size(b)) * percent / (100 + percent) - 1e-6)
+
+
+def _difference(a: str, b: str, percent: int) -> Column:
+    return (_set_size(a) + _set_size(b) - 2 * _overlap(a, b, percent)).alias("most")
+
+
 def _demanded(a: str, b: str, percent: int) -> Column:
     """How many posted shingles a similar pair shares at least.
 
     Where the shorter prefix ends, both have posted all they share so far; what is left of that set
     bounds the rest of the overlap.
     """
-    overlap = F.ceil((_set_size(a) + _set_size(b)) * percent / (100 + percent) - 1e-6)
     left = F.least(_prefix_size(a) - _set_size(a), _prefix_size(b) - _set_size(b))
-    return F.greatest(F.lit(1), overlap + left)
+    return F.greatest(F.lit(1), _overlap(a, b, percent) + left)
 
 
 def _fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """fp and shingles of the wanted classes, read from one document of each."""
     ids = stored(classes.join(wanted, "fp").select("rep", "fp"))
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     texts = docs.select("doc_id", utf8("text").alias("text")).join(ids, F.col("doc_id") == F.col("rep")).select("text", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -239,6 +269,21 @@ def _fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) ->
     return stored(map_arrow(texts, run, "fp long, shingles binary"))
 
 
+def _possible(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The pairs (a, b, most), ``most`` being how much similar ones may differ, that bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            kept = [(a, b) for a, b, most, x, y in rows if differing(x, y) <= most]
+            yield {"a": [a for a, _ in kept], "b": [b for _, b in kept]}
+
+    joined = pairs.join(bitmaps.select(F.col("fp").alias("a"), F.col("parity").alias("x")), "a").join(
+        bitmaps.select(F.col("fp").alias("b"), F.col("parity").alias("y")), "b"
+    )
+    return stored(map_arrow(joined.select("a", "b", "most", "x", "y"), run, "a long, b long"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar enough, by their whole sets."""
 
@@ -314,14 +359,15 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def clusters(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, list_size: int = LIST, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) per row."""
     profiles = _profiles(docs, k, sketch_bits)
-    own = profiles.filter("sketch is null").drop("sketch")
-    classes = stored(own.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    own = profiles.filter("sketch is null").select("doc_id", "n", "fp", "parity")
+    classes = stored(own.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("parity").alias("parity")))
     shared = _shared(_postings(docs, _sketch(profiles, sketch_bits), k, percent))
 
     stars = shared.filter("fp != lead").filter(_sizes_fit("meta", "lead_meta", percent))
     stars = stars.groupBy("fp", "lead").agg(F.count("*").alias("times"), F.first("meta").alias("meta"), F.first("lead_meta").alias("lead_meta"))
     stars = stars.filter(F.col("times") >= _demanded("meta", "lead_meta", percent))
-    stars = stored(stars.select(F.col("fp").alias("a"), F.col("lead").alias("b")))
+    stars = stars.select(F.col("fp").alias("a"), F.col("lead").alias("b"), _difference("meta", "lead_meta", percent))
+    stars = _possible(stars, classes)
     sets = _fetched(docs, classes, stars.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), k)
     first = stored(_verified(stars, sets, percent))
     dropped(sets)
@@ -337,7 +383,8 @@ def clusters(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, list_size:
     pairs = short.join(other, "token").filter((F.col("fp") < F.col("b")) & (F.col("group") != F.col("b_group")))
     pairs = pairs.filter(_sizes_fit("meta", "b_meta", percent))
     pairs = pairs.groupBy(F.col("fp").alias("a"), "b").agg(F.count("*").alias("times"), F.first("meta").alias("meta"), F.first("b_meta").alias("b_meta"))
-    pairs = stored(pairs.filter(F.col("times") >= _demanded("meta", "b_meta", percent)).select("a", "b"))
+    pairs = pairs.filter(F.col("times") >= _demanded("meta", "b_meta", percent))
+    pairs = _possible(pairs.select("a", "b", _difference("meta", "b_meta", percent)), classes)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionAll(long.select("fp")).distinct()
     sets = _fetched(docs, classes, stored(wanted), k)
     links = first.unionAll(_verified(pairs, sets, percent)).unionAll(_blocks(long, sets, percent))
