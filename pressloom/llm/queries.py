@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import decontaminate, language, ngram_join, pack, pii, quality_rules, token_count
+from pressloom.llm import chat, decontaminate, html_text, language, ngram_join, pack, pii, quality_rules, token_count
 from pressloom.llm.shared import documents
 
 
@@ -27,6 +27,10 @@ def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
     return pack.packed(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.digests(spark, documents(spark, sf, "conversations"))
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf), documents(spark, sf, "benchmark"))
 
@@ -39,13 +43,19 @@ def op9_token_count(spark: SparkSession, sf: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.main_texts(documents(spark, sf, "pages"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_rules": op2_quality_rules,
     "op3_pii": op3_pii,
     "op4_pack": op4_pack,
+    "op5_chat": op5_chat,
     "op6_decontaminate": op6_decontaminate,
     "op8_language": op8_language,
     "op9_token_count": op9_token_count,
+    "op10_html_text": op10_html_text,
 }
 ORACLES: dict[str, str] = {}
