@@ -1,13 +1,71 @@
-"""A corpus pipeline: each stage works on what its predecessor kept."""
+"""A corpus from raw documents to packed sequences, each stage on what its predecessor kept.
+
+Stages take and return the columns of documents; the last returns the pieces of sequences. None of
+the stages is plain SQL: learnt filters, similarity joins and tokenizers decide.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pressloom.llm import decontaminate, language, ngram_join, pack, pii
+from pressloom.llm.shared import documents, stored, without
+
+#: A document goes if less than this share of its n-grams belongs to any one language.
+LEAST_SCORE = 0.4
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognised language go."""
+    return language.accepted(docs, language.learn(docs), LEAST_SCORE)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five words, 0.8) the document with the smallest id stays.
+
+    Rows without an id stay; of rows with the same id one does.
+    """
+    found = stored(ngram_join.clusters(docs))
+    kept = without(docs, found.filter(F.col("doc_id") != F.col("component_id")), "doc_id")
+    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if repeated.isEmpty():
+        return kept
+    rest = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    return kept.filter("doc_id is null").unionByName(rest)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share a window of words with a benchmark item go."""
+    hit = decontaminate.overlaps(docs, documents(spark, sf_dir, "benchmark")).filter("n_hit > 0")
+    return without(docs, hit, "doc_id")
+
+
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that reveal it are replaced in the texts."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 1024 tokens, sources mixed evenly."""
+    return pack.packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("pii", sanitise),
+    ("packing", pack_sequences),
+]
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.shared import dropped, map_arrow, received, send, stored, utf8
+from pressloom.llm.shared import dropped, fresh, map_arrow, received, send, stored, utf8
 from pressloom.llm.words import SLICE_BYTES, mix
 
 GRAM = 4
@@ -108,6 +109,28 @@ class Filter:
         return np.clip((out - total * false) / (1 - false), 0, None)
 
 
+    def decide(self, row: int, size: int, keys: np.ndarray, owner: np.ndarray, letters: pa.Array) -> tuple[list, list]:
+        """Language and score of the texts from ``row`` on; ``letters`` tells which have any."""
+        total, counts = np.bincount(owner, minlength=size), self.counts(keys, owner, size)
+        names, scores = [], []
+        for i, some in enumerate(letters.slice(row, size).to_pylist()):
+            if not self.languages or not some:
+                names.append(UNKNOWN)
+                scores.append(0.0)
+            elif not total[i]:
+                names.append(self.common)
+                scores.append(0.0)
+            else:
+                best = int(np.argmax(counts[:, i]))
+                names.append(self.languages[best])
+                scores.append(min(1.0, float(counts[best, i] / total[i])))
+        return names, scores
+
+
+def _letters() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def _training(docs: DataFrame, sample: int) -> tuple[DataFrame, dict[str, int]]:
     rows = docs.filter((remainder() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
@@ -170,28 +193,32 @@ def predict(docs: DataFrame, languages: Filter) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known = received(sent)
         for batch in batches:
-            letters = batch.column(2).to_pylist()
             for row, size, keys, owner in grams(batch.column(1)):
-                total = np.bincount(owner, minlength=size)
-                counts = known.counts(keys, owner, size)
-                names, scores = [], []
-                for i in range(size):
-                    if not known.languages or not letters[row + i]:
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                    elif not total[i]:
-                        names.append(known.common)
-                        scores.append(0.0)
-                    else:
-                        best = int(np.argmax(counts[:, i]))
-                        names.append(known.languages[best])
-                        scores.append(min(1.0, float(counts[best, i] / total[i])))
+                names, scores = known.decide(row, size, keys, owner, batch.column(2))
                 yield {"doc_id": batch.column(0).slice(row, size), "lang_pred": names, "score": scores}
 
-    source = docs.select("doc_id", utf8("text").alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    source = docs.select("doc_id", utf8("text").alias("text"), _letters())
     return map_arrow(source, run, "doc_id long, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, languages: Filter, least: float) -> DataFrame:
+    """Rows of ``docs`` with a language and a score of ``least`` or more; a null lang is filled in."""
+    sent, names = send(docs.sparkSession, languages), docs.columns
+    bytes_, letters = fresh(docs, "text_bytes"), fresh(docs, "has_letters")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = received(sent)
+        for batch in batches:
+            found = [known.decide(*part, batch[letters]) for part in grams(batch[bytes_])]
+            kept = pa.array([n != UNKNOWN and s >= least for some in found for n, s in zip(*some, strict=True)], pa.bool_())
+            guess = pa.array([n for some in found for n in some[0]], pa.string())
+            columns = [pc.coalesce(batch[c], guess.cast(batch[c].type)) if c == "lang" else batch[c] for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(kept)
+
+    source = docs.withColumns({bytes_: utf8("text"), letters: _letters()})
+    return source.mapInArrow(run, docs.schema)
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """Learn from the documents that are not held out, then predict all."""
     found = predict(docs, learn(docs))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.llm.quality_rules import let
-from pressloom.llm.shared import stored
+from pressloom.llm.shared import fresh, stored
 
 #: Kinds and what they match. The possessive forms match what the plain ones do, in linear time: a
 #: run of characters that cannot be part of a match is left after one attempt.
@@ -234,7 +234,8 @@ def sanitised(text: Column, found_spans: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with sanitised texts; other columns stay, null texts too."""
-    own = spans(docs).filter(F.size("spans") > 0).select(F.col("key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"])
-    joined = docs.withColumn("_key", _key("text")).join(_small(stored(own)), "_key", "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(sanitised(F.col("text"), F.col("_spans")))
+    key, found_ = fresh(docs, "text_key"), fresh(docs, "found_spans")
+    own = spans(docs).filter(F.size("spans") > 0).select(F.col("key").alias(key), F.col("spans").alias(found_)).dropDuplicates([key])
+    joined = docs.withColumn(key, _key(F.col("text"))).join(_small(stored(own)), key, "left")
+    text = F.when(F.col(found_).isNull(), F.col("text")).otherwise(sanitised(F.col("text"), F.col(found_)))
     return joined.withColumn("text", text).select(*docs.columns)

@@ -69,8 +69,8 @@ def _without(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts that base rules and votes are made of."""
+def measured(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, carried columns and the counts that base rules and votes are made of."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_BLANK)) != "")
 
@@ -86,6 +86,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(
         "doc_id",
+        *carried,
         let(words(text), counts).alias("w"),
         let(lines, line_counts).alias("l"),
         _without(text, r"[^#*$%&|<>]+").alias("n_symbols"),
@@ -94,7 +95,7 @@ def measured(docs: DataFrame) -> DataFrame:
         _without(text, r"[^.?!。]+").alias("n_stops"),
         _without(text, r"[^!]+").alias("n_shouts"),
     )
-    return rows.select("doc_id", "w.*", "l.*", "n_symbols", "n_letters", "n_capitals", "n_stops", "n_shouts")
+    return rows.select("doc_id", *carried, "w.*", "l.*", "n_symbols", "n_letters", "n_capitals", "n_stops", "n_shouts")
 
 
 def _vote(good: Column, bad: Column) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pressloom.llm import chat, decontaminate, html_text, language, ngram_join, pack, pii, quality_rules, token_count
+from pressloom.llm import chat, decontaminate, html_text, language, ngram_join, pack, pii, quality_rules, site_quality, token_count
 from pressloom.llm.shared import documents
 
 
@@ -35,6 +36,12 @@ def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf), documents(spark, sf, "benchmark"))
 
 
+def op7_site_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """A document's source is its host, its language the section of the host it is in."""
+    docs, labels = documents(spark, sf), documents(spark, sf, "labels")
+    return site_quality.judged(docs, labels, F.col("source"), F.col("lang"))
+
+
 def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identified(documents(spark, sf))
 
@@ -54,6 +61,7 @@ QUERIES = {
     "op4_pack": op4_pack,
     "op5_chat": op5_chat,
     "op6_decontaminate": op6_decontaminate,
+    "op7_site_quality": op7_site_quality,
     "op8_language": op8_language,
     "op9_token_count": op9_token_count,
     "op10_html_text": op10_html_text,

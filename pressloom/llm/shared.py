@@ -17,6 +17,14 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it a name that ``df`` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: str) -> Column:
     """A text as bytes, so that workers need not decode it; null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
@@ -40,6 +48,12 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+def without(df: DataFrame, ids: DataFrame, key: str, most: int = 1_000_000) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``ids``: by a broadcast of up to ``most`` ids, else a join."""
+    ids = stored(ids.select(key).distinct())
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, key, "left_anti").select(*df.columns)
+
+
 def send(spark: SparkSession, value: object) -> Broadcast:
     """Broadcast objects of this package's classes to workers that cannot import it."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
