@@ -131,8 +131,9 @@ def prefix(shingles: np.ndarray, sketch: np.ndarray, load: float, percent: int)
     """The posted shingles of a set, and its rare ones in 1/127 of all."""
     n = len(shingles)
     seen = sketch[(shingles & np.uint64(len(sketch) - 1)).astype(np.int64)].astype(float)
-    # Rare shingles are one class, in order of their hashes; frequent ones follow in powers of two.
-    level = np.where(seen <= 4 * load + 8, 0, np.log2(np.maximum(seen, 1)).astype(np.int64))
+    # Other shingles of the same counter add ``load``, with a spread of its root. Those that are rare
+    # beyond doubt are one class, in order of their hashes; frequent ones follow in powers of two.
+    level = np.where(seen <= load + 6 * load**0.5 + 8, 0, np.log2(np.maximum(seen - load, 1)).astype(np.int64))
     order = np.lexsort((shingles, level))
     least = n + percent * n // -100 + 1  # n - ceil(percent * n / 100) + 1
     cost = np.cumsum(np.maximum(seen[order] - load - 1, 0))
@@ -342,7 +343,11 @@ def similar_forest(fps: np.ndarray, groups: np.ndarray, sets: list[np.ndarray],
 def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links within long lists (token, fp, meta, group): every two blocks of a list are one task's work."""
     weight = F.greatest(_set_size("meta") * 8, F.lit(LEAST_BYTES))
-    counts = stored(lists.groupBy("token").agg(F.ceil(F.sum(weight) / BLOCK_BYTES).alias("blocks")))
+    # Lists of the same classes, as the shingles of one passage have, are compared once.
+    same = [F.count("*").alias("size"), F.sum(F.shiftright(F.xxhash64("fp"), 24)).alias("sum"), F.bit_xor("fp").alias("xor")]
+    counts = lists.groupBy("token").agg(F.ceil(F.sum(weight) / BLOCK_BYTES).alias("blocks"), *same)
+    counts = counts.groupBy("size", "sum", "xor").agg(F.min("token").alias("token"), F.first("blocks").alias("blocks"))
+    counts = stored(counts.select("token", "blocks"))
     rows = lists.join(counts, "token").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("token", "fp", "group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
