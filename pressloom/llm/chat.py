@@ -87,7 +87,7 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     for jump in jumps[:-1]:
         jump = jump.select(F.col("conv_id").alias("c"), F.col("id").alias("i"), "up")
         higher = found.join(jump, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")))
-        found = found.unionAll(higher.select("conv_id", "path", F.col("up").alias("id")))
+        found = stored(found.unionAll(higher.select("conv_id", "path", F.col("up").alias("id"))))
     depth = rooted.select(F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("depth").alias("pos"))
     found = found.join(depth, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")))
     return found.select("conv_id", "path", "pos", "id")
