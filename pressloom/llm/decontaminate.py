@@ -39,7 +39,7 @@ def winnow(words: Words, window: int = WINDOW, k: int = GRAM) -> tuple[np.ndarra
         return grams, np.zeros(0, np.int64)
     text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
     least = grams.copy()
-    for j in range(1, span):
+    for j in range(1, min(span, n)):
         least[: n - j] = np.minimum(least[: n - j], grams[j:])
     last = np.repeat(words.first[1:], np.diff(words.first))
     full = np.arange(n) + window <= last
