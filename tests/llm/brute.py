@@ -1,0 +1,100 @@
+"""Plain statements of what the operators return, for small tables."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+#: Values that every operator has to bear: null, empty, blank, long, repeated.
+ODD_TEXTS = [None, "", " \n\t ", "x", "a b c", "A  b\u00a0c", "é ß 漢字 😀 end", "word " * 6000, "y" * 20000, "a b c"]
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def clusters(rows, k, percent):
+    """{id: (set size, component)} of (id, text)."""
+    sets = {}
+    for i, text in rows:
+        w = SPACED.findall(lower(text or ""))
+        sets[i] = frozenset(tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))) if w else frozenset()
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    lists = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            lists[x].append(i)
+    for i, s in sets.items():
+        for j, n in Counter(j for x in s for j in lists[x] if j > i).items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {i: (len(s), root(i)) for i, s in sets.items()}
+
+
+def quality_base(text):
+    w = SPACED.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if SPACED.search(x)]
+    windows = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+    again = {j for i in range(len(w) - 7) if windows[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
+    failed = len(w) < 20 or 100 * len(again) > 30 * len(w)
+    symbols = sum((text or "").count(c) for c in "#*$%&|<>")
+    return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(again), failed
+
+
+_KINDS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _valid(kind, value):
+    digits = [int(c) for c in value if c in "0123456789"]
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        total = sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(reversed(digits)))
+        return 13 <= len(digits) <= 19 and total % 10 == 0
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def private(text):
+    spans, counts = [], []
+    for kind, pattern in _KINDS.items():
+        own = [f"{kind}:{m.start()}:{m.end()}" for m in re.finditer(pattern, text or "") if _valid(kind, m[0])]
+        spans += own
+        counts.append(len(own))
+    return (*counts, sha(",".join(spans)))
+
+
+def overlaps(docs, items):
+    """{id: (words, hits, items, their digest)} of (id, text) pairs."""
+    windows = defaultdict(set)
+    for i, text in items:
+        w = ALNUM.findall(lower(text or ""))
+        for k in range(len(w) - min(10, len(w)) + 1 if w else 0):
+            windows[tuple(w[k : k + 10])].add(str(i))
+    out = {}
+    for i, text in docs:
+        w, hit, met = ALNUM.findall(lower(text or "")), set(), set()
+        for m in {len(x) for x in windows}:
+            for k in range(len(w) - m + 1):
+                if own := windows.get(tuple(w[k : k + m])):
+                    met |= own
+                    hit.update(range(k, k + m))
+        out[i] = (len(w), len(hit), len(met), sha(",".join(sorted(met))))
+    return out
