@@ -52,52 +52,66 @@ def occurrences(text: Column, phrase: str) -> Column:
     return F.when(F.contains(text, F.lit(phrase)), count).otherwise(F.lit(0).cast("bigint"))
 
 
-# Date, then optionally 'T' or a space, a time of day and an offset.
-_EXTENDED = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
-_USUAL = r"^(?!0000)\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
-_OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)$"
-
-
-def _with_separators(text: Column) -> Column:
-    """Basic form (``20260220T1000Z``) to extended form (``2026-02-20T10:00Z``)."""
-    out = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
-    out = F.regexp_replace(out, r"([T ]\d{2})(\d{2})", "$1:$2")
-    return F.regexp_replace(out, r"([T ]\d{2}:\d{2})(\d{2})", "$1:$2")
-
-
-def _with_seconds(text: Column) -> Column:
-    """Spell out the minutes and seconds that ISO-8601 lets a time of day leave out."""
-    out = F.regexp_replace(text, r"([T ]\d{2})(?=[Z+-]|$)", "$1:00")
-    out = F.regexp_replace(out, r"([T ]\d{2}:\d{2})(?=[Z+-]|$)", "$1:00")
-    return F.when(text.rlike(r"[T ]\d{2}:\d{2}:"), text).otherwise(out)
+#: ISO-8601 in one pattern: calendar or week date, with or without hyphens; then any one character
+#: and a time of day, with or without colons; then an offset. A text is basic or extended throughout
+#: its date, its time and its offset each.
+_ISO = (
+    r"(?s)^(?!0000)(\d{4})(-?)(?:(\d{2})\2(\d{2})|W(\d{2})(?:\2(\d))?)"
+    r"(?:.(\d{2})(?:(:?)(\d{2})(?:\8(\d{2})(?:[.,](\d*))?)?)?"
+    r"(?:(Z)|([+-])(\d{2})(?:(:?)(\d{2})(?:\15(\d{2})(?:[.,](\d*))?)?)?)?)?\z"
+)
+_FIELDS = ("year", "month", "day", "week", "weekday", "hour", "minute", "second", "fraction", "utc", "sign")
+_FIELDS += ("offset_hour", "offset_minute", "offset_second", "offset_fraction")
+_GROUPS = (1, 3, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14, 16, 17, 18)
 
 
-def parse_instant(text: Column) -> Column:
-    """ISO-8601 text to a timestamp, null when it cannot be read.
+def read_time(text: Column) -> Column:
+    """Struct of ``micros`` since 1970 (null: unreadable) and ``assumed_utc`` for an ISO-8601 text.
 
-    The accepted forms are checked first, because Spark's own cast takes more than ISO
-    (a bare year, a bare time of day). A text without an offset is read as UTC. Week
-    dates (``2026-W08-5``) give null. The usual spelling takes a path of its own, one pattern and
-    one parse per row.
+    The fields are cut out by one pattern and put together by integer arithmetic, so nothing depends
+    on the session. A text without an offset is read as UTC, and flagged.
     """
-    return F.when(text.rlike(_USUAL), F.try_to_timestamp(text)).otherwise(_parse_unusual(text))
+    spelt = F.regexp_replace(text, _ISO, "\n" + ";".join(f"${g}" for g in _GROUPS))
+    matched = F.startswith(spelt, F.lit("\n")) & ~F.startswith(text, F.lit("\n"))
+    return _bound(F.when(matched, F.split(F.substring(spelt, 2, 1 << 20), ";", -1)), _assemble)
+
+
+def _assemble(parts: Column) -> Column:
+    raw = {name: parts[i] for i, name in enumerate(_FIELDS)}
+
+    def number(name: str, default: int = 0) -> Column:
+        return F.coalesce(raw[name].try_cast("int"), F.lit(default))
+
+    def fraction(name: str) -> Column:
+        return F.rpad(F.substring(raw[name], 1, 6), 6, "0").cast("bigint")
+
+    calendar = F.unix_date(F.concat_ws("-", raw["year"], raw["month"], raw["day"]).try_cast("date"))
+    fourth = F.unix_date(F.concat(raw["year"], F.lit("-01-04")).try_cast("date"))
+    first_monday = fourth - F.pmod(fourth + 3, F.lit(7))
+    week, weekday = number("week"), number("weekday", 1)
+    # Week 53 exists when its Thursday lies in the same year.
+    thursday = F.year(F.date_from_unix_date(first_monday + (week - 1) * 7 + 3))
+    exists = week.between(1, 53) & weekday.between(1, 7) & (thursday == number("year"))
+    days = F.when(raw["week"] == "", calendar).when(exists, first_monday + (week - 1) * 7 + weekday - 1)
+    timed = (number("hour") < 24) & (number("minute") < 60) & (number("second") < 60)
+    zoned = (number("offset_hour") < 24) & (number("offset_minute") < 60) & (number("offset_second") < 60)
+    seconds = number("hour") * 3600 + number("minute") * 60 + number("second")
+    sign = F.when(raw["sign"] == "-", -1).otherwise(1)
+    offset = number("offset_hour") * 3600 + number("offset_minute") * 60 + number("offset_second")
+    micros = (days.cast("bigint") * 86_400 + seconds - sign * offset) * 1_000_000
+    micros = F.when(timed & zoned, micros + fraction("fraction") - sign * fraction("offset_fraction"))
+    bare = (raw["utc"] == "") & (raw["sign"] == "")
+    return F.struct(micros.alias("micros"), (micros.isNotNull() & bare).alias("assumed_utc"))
 
 
-def _parse_unusual(text: Column) -> Column:
-    iso = F.when(text.rlike(r"^\d{8}"), _with_separators(text)).otherwise(text)
-    iso = F.replace(iso, F.lit(","), F.lit("."))
-    full = _with_seconds(iso)
-    zoned = (
-        F.when(F.length(iso) == 10, F.concat(iso, F.lit("T00:00:00Z")))
-        .when(iso.rlike(_OFFSET), full)
-        .otherwise(F.concat(full, F.lit("Z")))
-    )
-    return F.when(iso.rlike(_EXTENDED), F.try_to_timestamp(zoned))
+def parse_instant(text: Column) -> Column:
+    """ISO-8601 text to a timestamp, null when it cannot be read; see :func:`read_time`."""
+    return F.timestamp_micros(read_time(text)["micros"])
 
 
 def lacks_offset(text: Column) -> Column:
     """True when a readable time carries no offset, so that UTC had to be assumed."""
-    return F.coalesce(parse_instant(text).isNotNull() & ~text.rlike("[T ].*" + _OFFSET), F.lit(False))
+    return F.coalesce(read_time(text)["assumed_utc"], F.lit(False))
 
 
 def _date_at_offset(instant: Column, hours: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.constants import ARTICLES_PER_ISSUE
-from pressloom.functions.text import lacks_offset, parse_instant
+from pressloom.functions.text import read_time
 from pressloom.lineage import cut
 
 _SLICES = 256
@@ -16,14 +16,18 @@ _SLICES = 256
 
 def with_instant(articles: DataFrame) -> DataFrame:
     """Add ``published_ts`` (null when unreadable) and ``assumed_utc``."""
-    return articles.withColumn("published_ts", parse_instant(F.col("published_at"))).withColumn(
-        "assumed_utc", lacks_offset(F.col("published_at"))
-    )
-
-
-def newest_first(seq: str = "seq") -> list[Column]:
-    """Newest first, unreadable times last, equal times in list order."""
-    return [F.col("published_ts").desc_nulls_last(), F.col(seq).asc()]
+    read = articles.withColumn("_read", read_time(F.col("published_at")))
+    return read.withColumns(
+        {
+            "published_ts": F.timestamp_micros(F.col("_read.micros")),
+            "assumed_utc": F.coalesce(F.col("_read.assumed_utc"), F.lit(False)),
+        }
+    ).drop("_read")
+
+
+def newest_first(*seq: str) -> list[Column]:
+    """Newest first, unreadable times last, equal times in the order of ``seq`` columns."""
+    return [F.col("published_ts").desc_nulls_last(), *(F.col(c).asc() for c in seq or ("seq",))]
 
 
 def top_k_per_group(

@@ -70,13 +70,15 @@ def assign_issues(articles: DataFrame, issues: Sequence[Issue], date_column: str
 
     Lets one plan build many issues. Windows of neighbouring issues may overlap. The windows
     become a calendar of ``(day, issue_date)``, a handful of rows per issue that was asked for,
-    so it is broadcast; the outer dates of all windows still prune the scan.
+    so it is broadcast; a ``published_ts`` that is there is not read again, and the outer dates of all windows still prune the scan.
     """
     days = {(i.window_start + timedelta(n), i.issue_date) for i in issues for n in range(i.days + 1)}
     calendar = articles.sparkSession.createDataFrame(sorted(days), "_day date, issue_date date")
+    timed = "published_ts" in articles.columns and not date_column
+    day = utc_date(F.col("published_ts")) if timed else _published_date(date_column)
     first, last = min(i.window_start for i in issues), max(i.window_end for i in issues)
     return (
-        articles.withColumn("_day", _published_date(date_column))
+        articles.withColumn("_day", day)
         .filter(F.col("_day").between(F.lit(first), F.lit(last)))
         .join(F.broadcast(calendar), "_day")
         .drop("_day")
@@ -93,14 +95,14 @@ def exclude_domains(articles: DataFrame, domains: Sequence[str] = EXCLUDED_DOMAI
 
 
 def most_relevant(
-    matches: DataFrame, k: int = ARTICLES_PER_GROUP, scope: Sequence[str] = (), seq: str = "seq"
+    matches: DataFrame, k: int = ARTICLES_PER_GROUP, scope: Sequence[str] = (), seq: Sequence[str] = ("seq",)
 ) -> DataFrame:
     """At most ``k`` articles per keyword group (and scope): most hits, then newest, then ``seq``.
 
     Needs ``published_ts``. Adds ``rank``.
     """
     return top_k_per_group(
-        matches, [*scope, "group_idx"], [F.col("hits").desc(), *newest_first(seq)], k, position="rank"
+        matches, [*scope, "group_idx"], [F.col("hits").desc(), *newest_first(*seq)], k, position="rank"
     )
 
 

@@ -103,11 +103,10 @@ def collect(articles: DataFrame, issues: Sequence[Issue], settings: Settings = S
     year cost one pass over the articles. The cap per keyword group comes before the validity
     filter, as a search returns its hits before anyone looks at them.
     """
-    tie = settings.key[0]
     searched = exclude_domains(in_language(articles, settings.lang), settings.excluded)
-    searched = assign_issues(searched, issues, settings.date_column)
-    matches = with_instant(match_groups(searched, settings.groups))
-    hits = most_relevant(matches, settings.per_group, ["issue_date"], tie)
+    searched = assign_issues(with_instant(searched).drop("assumed_utc"), issues, settings.date_column)
+    matches = match_groups(searched, settings.groups)
+    hits = most_relevant(matches, settings.per_group, ["issue_date"], settings.key)
     hits, seen_raw = observed(hits, "collected")
 
     valid = valid_articles(in_list_order(hits)).withColumns(

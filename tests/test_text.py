@@ -34,6 +34,11 @@ INSTANTS = [
     "20260220T100000Z", "20260220", "20260220T1000", "2026-02-20T10:00:00+0900", "2026-02-20T10:00:00-05",
     "2026-02-20T10:00:00,5Z", "2026-02-30T00:00:00Z", "2026-02-20T25:00:00Z", "2026", "2026-02", "12:30", "", "x",
     "2026-02-20T10:00:00ZZ", "0001-01-01T00:00:00Z", "0000-01-01", "2024-02-29T23:59:59.9+00:00", "now", "epoch",
+    "2026-02-20t10:00:00+00:00", "2026-02-20_10:00:00Z", "2026-02-20T100000Z", "2026-02-20T10:00:00+09:00:30",
+    "2026-02-20T10:00:00+18:30", "2026-02-20T10:00:00-23:59", "2026-02-20T10:00:00+24:00", "2026-W08-5", "2026W085", "2026-W08",
+    "2026W08T10", "2026-W53-1", "2020-W53-7T01:02:03Z", "2026-W00-1", "2026-W08-8", "2026-W085", "2026W08-5", "20260220T10:00:00Z",
+    "2026-02-20T1000:00Z", "2026-0220", "202602-20", "2026-02-20T10:60Z", "2026-02-20T10:00:00+0900:30", "2026-02-20T10:00:00+090030.5",
+    "2026-02-20\n10:00", "2026-02-20T", "2026-02-20T10:00:00.Z", "2026-02-20+09:00", "\n2026-02-20", "2026-02-20\n", "１026-02-20",
 ]
 
 
