@@ -144,20 +144,23 @@ def revealing(docs: DataFrame, base: DataFrame, support: int = SUPPORT, least: f
     met = base.filter("near is not null").select("key", F.explode("near").alias("near")).groupBy("key", "near").count()
     both = met.groupBy("near.entity", "near.term").agg(F.sum("count").alias("both"), F.count("*").alias("texts"))
     both = both.filter(F.col("texts") >= support)
-    both = stored(both)
-    if both.isEmpty():
-        return both.select("term", F.lit(1.0).alias("disclosure"))
     entity = F.transform("spans", lambda s: F.xxhash64(s["kind"], F.lower(s["value"])))
     of_entity = base.select(F.explode(F.array_distinct(entity)).alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
+    beside = met.groupBy("near.term", "key").agg(F.max("count").alias("count")).groupBy("term").agg(F.sum("count").alias("beside"))
+    texts = float(base.count())
+    # A term occurs in the texts that have it beside some entity at least, so common words, which
+    # are beside many, cannot reach the threshold and need not be counted over the corpus.
+    reach = F.col("both") * F.pow(F.lit(texts) / F.col("with_entity"), F.lit(1 - least)) * (1 + 1e-9)
+    both = stored(both.join(of_entity, "entity").join(beside, "term").filter(reach >= F.col("beside")))
+    if both.isEmpty():
+        return both.select("term", F.lit(1.0).alias("disclosure"))
     wanted = _small(stored(both.select("term").distinct()))
-    text = F.coalesce("text", F.lit(""))
-    with_term = docs.select(F.explode(_terms(text)).alias("term")).join(wanted, "term")
+    with_term = docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).join(wanted, "term")
     with_term = with_term.groupBy("term").agg(F.count("*").alias("with_term"))
-    texts = base.count()
-    own = F.log(F.lit(float(texts)) / F.col("with_entity"))
-    shared = F.log(F.col("both") * F.lit(float(texts)) / (F.col("with_term") * F.col("with_entity")))
+    own = F.log(F.lit(texts) / F.col("with_entity"))
+    shared = F.log(F.col("both") * F.lit(texts) / (F.col("with_term") * F.col("with_entity")))
     told = F.when(own > 0, shared / own).otherwise(0.0)
-    rows = both.join(of_entity, "entity").join(with_term, "term").select("term", told.alias("disclosure"))
+    rows = both.join(with_term, "term").select("term", told.alias("disclosure"))
     return rows.groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= least)
 
 
