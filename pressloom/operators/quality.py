@@ -35,6 +35,13 @@ def observed(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(watch, F.count(F.lit(1)).alias("n")), watch
 
 
+def observed_by_group(df: DataFrame, stage: str, groups: int, group: str = "group_idx") -> tuple[DataFrame, Observation]:
+    """The same with a count ``g<i>`` for each of the numbered groups."""
+    watch = Observation(stage)
+    counts = [F.count_if(F.col(group) == i).alias(f"g{i}") for i in range(groups)]
+    return df.observe(watch, F.count(F.lit(1)).alias("n"), *counts), watch
+
+
 def funnel_counts(flagged: DataFrame, group: str, stages: Mapping[str, Column]) -> DataFrame:
     """Rows per stage as a table ``(stage, n)``, from one pass over flagged rows.
 

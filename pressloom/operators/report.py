@@ -3,7 +3,7 @@ does not exist. Input are enriched articles with ``position`` inside their issue
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressloom.constants import CATEGORIES, CATEGORY_SEPARATOR, ISSUE_PREFIX, PREVIEW_TITLES, SEARCH_DAYS
@@ -77,7 +77,7 @@ def issue_header(articles: DataFrame) -> DataFrame:
 
 
 def archive_index(issue_names: DataFrame, name: str = "name") -> DataFrame:
-    """Known issues, newest name first, with the date as shown in the archive.
+    """Known issues, newest file name first (``rank``), with the date as shown in the archive.
 
     A name that holds no date shows what follows the prefix.
     """
@@ -90,7 +90,9 @@ def archive_index(issue_names: DataFrame, name: str = "name") -> DataFrame:
         .select(F.col(name).alias("name"))
         .distinct()
         .select("name", F.concat("name", F.lit(".html")).alias("file_name"), shown.alias("display_date"))
-        .orderBy(F.col("name").desc())
+        # One row per issue ever published: the window over all of them stays small.
+        .withColumn("rank", F.row_number().over(Window.orderBy(F.col("file_name").desc())).cast("bigint"))
+        .orderBy("rank")
     )
 
 

@@ -14,7 +14,7 @@ from pressloom.issue import Issue
 from pressloom.lineage import shared_dir
 from pressloom.operators import dedup, enrich, ordering, quality, report, search, titles
 from pressloom.plans import tables as src
-from pressloom.plans.digest import Settings, weekly_digest
+from pressloom.plans.digest import Collected, Settings, collect, publish
 from pressloom.sources import archive, responses
 
 AS_OF = Issue(datetime(2024, 1, 10, 22, 0))
@@ -29,7 +29,28 @@ def _day(df: DataFrame, column: str = "issue_date") -> DataFrame:
 
 def src_responses(spark: SparkSession, sf: str) -> DataFrame:
     rows = responses.raw_articles(responses.parse_responses(src.response_bodies(spark, sf)))
-    return rows.withColumn("group_idx", F.col("group_idx").cast("bigint"))
+    return rows.drop("unreadable").withColumn("group_idx", F.col("group_idx").cast("bigint"))
+
+
+def rejected_responses(spark: SparkSession, sf: str) -> DataFrame:
+    rows = responses.rejected_responses(responses.parse_responses(src.response_bodies(spark, sf)))
+    return rows.select(F.col("group_idx").cast("bigint").alias("group_idx"), "status", "code", "unreadable")
+
+
+def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """The responses as landed files, some of whose article lists are damaged, read back."""
+    path = f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
+    body = F.when(F.col("body").contains('"group_idx":3,'), F.regexp_replace("body", '"articles":\\[.*\\]', '"articles":"oops"'))
+    src.response_bodies(spark, sf).select(F.coalesce(body, F.col("body"))).write.text(path)
+    read = responses.read_responses(spark, path)
+    taken = responses.raw_articles(read).groupBy("group_idx").agg(F.count("*").alias("records"))
+    rejected = responses.rejected_responses(read).select("group_idx", "status", "unreadable")
+    both = rejected.join(taken, "group_idx", "full")
+    return both.select(F.col("group_idx").cast("bigint").alias("group_idx"), "status", "unreadable", "records")
+
+
+def failed_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return enrich.failed_requests(src.attempts(spark, sf)).select("seq")
 
 
 def project_articles(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,6 +83,12 @@ def domain_exclude(spark: SparkSession, sf: str) -> DataFrame:
     return search.exclude_domains(src.articles(spark, sf), src.DOMAINS).select("seq", "url", "source")
 
 
+def digest_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of the whole job: found per keyword group and in all, valid, unique, final."""
+    collected = _collected(spark, sf)
+    return collected.funnel()
+
+
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
     matches = search.match_groups(src.articles(spark, sf), src.GROUPS)
     return search.most_relevant(ordering.with_instant(matches))
@@ -84,7 +111,6 @@ def funnel_counts(spark: SparkSession, sf: str) -> DataFrame:
     raw = src.raw_articles(spark, sf)
     flagged = (
         raw.withColumn("valid", quality.is_valid(F.col("title"), F.col("description"), F.col("url")))
-        .withColumn("day", F.substring("published_at", 1, 10))
         .withColumn("readable", F.col("valid") & parse_instant(F.col("published_at")).isNotNull())
     )
     stages = {"all": F.lit(True), "valid": F.col("valid"), "dated": F.col("readable")}
@@ -100,17 +126,17 @@ def dedup_url(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def title_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return titles.first_similar_titles(src.articles(spark, sf))
+    return titles.first_similar_titles(src.with_near_copies(spark, sf))
 
 
-def title_pairs_documents(spark: SparkSession, sf: str) -> DataFrame:
+def first_line_pairs_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The same search over a larger table: the first lines of all documents."""
     line = F.substring_index("text", "\n", 1).alias("title")
     return titles.first_similar_titles(src.table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), line))
 
 
 def dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.drop_near_duplicates(src.with_url_copies(spark, sf)).select("seq", "title", "url")
+    return dedup.drop_near_duplicates(src.with_near_copies(spark, sf)).select("seq", "title", "url")
 
 
 def parse_published(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,11 +223,12 @@ def issue_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def archive_index(spark: SparkSession, sf: str) -> DataFrame:
     """Issue names from event times: padded, unpadded, one that holds no date, one impossible."""
-    ts, role = F.col("ts"), F.pmod(F.col("event_id"), F.lit(4))
+    ts, role = F.col("ts"), F.pmod(F.col("event_id"), F.lit(5))
     suffix = (
         F.when(role == 0, F.date_format(ts, "yyyy-MM-dd"))
         .when(role == 1, F.date_format(ts, "yyyy-M-d"))
         .when(role == 2, F.concat(F.lit("special-"), F.col("event_type")))
+        .when(role == 4, F.concat(F.date_format(ts, "yyyy-MM-dd"), F.lit("-extra")))
         .otherwise(F.date_format(ts, "yyyy-MM-'31x'"))
     )
     names = src.table(spark, sf, "events").select(F.concat(F.lit("weekly-news-"), suffix).alias("name"))
@@ -220,17 +247,28 @@ def digest_row(spark: SparkSession, sf: str) -> DataFrame:
     return _day(report.digest_row(src.issues(spark, sf), BASE_URL, TITLE))
 
 
+_SETTINGS = Settings(groups=src.GROUPS, excluded=src.DOMAINS)
+
+
+def _collected(spark: SparkSession, sf: str) -> Collected:
+    """Articles of the runs of three weeks."""
+    raw = src.raw_articles(spark, sf).withColumnsRenamed({"seq": "article_id", "source_name": "source"})
+    runs = [Issue(datetime(2024, 1, day, 22, 0)) for day in (3, 10, 17)]
+    return collect(raw, runs, _SETTINGS)
+
+
 def digest_cards(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job for the runs of three weeks: search to report cards."""
-    raw = src.raw_articles(spark, sf).withColumnsRenamed({"seq": "article_id", "source_name": "source"})
     replies = src.attempts(spark, sf).withColumnRenamed("seq", "article_id")
-    settings = Settings(groups=src.GROUPS, excluded=src.DOMAINS)
-    runs = [Issue(datetime(2024, 1, day, 22, 0)) for day in (3, 10, 17)]
-    return _day(weekly_digest(raw, replies, runs, settings).cards)
+    return _day(publish(_collected(spark, sf), replies, _SETTINGS).cards)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_responses": src_responses,
+    "rejected_responses": rejected_responses,
+    "landed_responses": landed_responses,
+    "failed_requests": failed_requests,
+    "digest_funnel": digest_funnel,
     "project_articles": project_articles,
     "src_archive": src_archive,
     "kw_group_match": kw_group_match,
@@ -244,7 +282,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "url_norm": url_norm,
     "dedup_url": dedup_url,
     "title_pairs": title_pairs,
-    "title_pairs_documents": title_pairs_documents,
+    "first_line_pairs_documents": first_line_pairs_documents,
     "dedup_greedy": dedup_greedy,
     "parse_published": parse_published,
     "sort_newest": sort_newest,

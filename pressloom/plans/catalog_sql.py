@@ -11,13 +11,13 @@ from pressloom.plans.tables import DOMAINS, GROUPS
 _ARTICLES = """articles AS (
   SELECT page_id AS seq,
          trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title,
-         trim(regexp_extract(html, '<p>([^<]+)', 1)) AS description,
+         trim(array_to_string(regexp_extract_all(html, '<p>(?:<b>)?([^<]+)', 1), ' ')) AS description,
          url,
          regexp_extract(url, '^https?://([^/?#:]+)', 1) AS source,
          regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang,
          strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS published_at,
          event_type
-  FROM pages JOIN events ON event_id = page_id * 20)"""
+  FROM pages LEFT JOIN events ON event_id = page_id * 20)"""
 
 
 def _strip(text: str) -> str:
@@ -46,7 +46,7 @@ _COPIES = f"""{_ARTICLES}, copies AS (
   UNION ALL SELECT seq + 1000000000000, title, upper(url) || '//' FROM articles)"""
 
 _SPELT = f"""{_ARTICLES}, spelt AS (
-  SELECT seq, CASE seq % 8
+  SELECT seq, CASE seq % 14
     WHEN 1 THEN substr(published_at, 1, 10) || 'T' || substr(published_at, 12, 8) || '+09:00'
     WHEN 2 THEN substr(published_at, 1, 10) || ' ' || substr(published_at, 12, 8)
     WHEN 3 THEN substr(published_at, 1, 10)
@@ -54,11 +54,21 @@ _SPELT = f"""{_ARTICLES}, spelt AS (
     WHEN 5 THEN substr(published_at, 1, 10) || 'T' || substr(published_at, 12, 8) || '.250Z'
     WHEN 6 THEN ''
     WHEN 7 THEN 'on ' || substr(published_at, 1, 10)
-    ELSE published_at END AS published_at
+    WHEN 8 THEN substr(published_at, 1, 10) || 't' || substr(published_at, 12, 8) || '+00:00'
+    WHEN 9 THEN substr(published_at, 1, 10) || '_' || replace(substr(published_at, 12, 8), ':', '') || 'Z'
+    WHEN 10 THEN substr(published_at, 1, 10) || 'T' || substr(published_at, 12, 8) || '+09:00:30'
+    WHEN 11 THEN substr(published_at, 1, 10) || 'T' || substr(published_at, 12, 8) || '-23:59'
+    WHEN 12 THEN strftime(CAST(substr(published_at, 1, 10) AS DATE), '%G-W%V-%u') || 'T' || substr(published_at, 12, 8) || 'Z'
+    WHEN 13 THEN strftime(CAST(substr(published_at, 1, 10) AS DATE), '%GW%V%u')
+    ELSE published_at END AS published_at, CAST(replace(published_at, 'Z', '') AS TIMESTAMP) AS meant
   FROM articles),
 timed AS (
   SELECT seq, published_at,
-         CASE WHEN regexp_full_match(published_at,
+         CASE WHEN seq % 14 IN (8, 9, 12) THEN meant
+              WHEN seq % 14 = 10 THEN meant - INTERVAL 32430 SECOND
+              WHEN seq % 14 = 11 THEN meant + INTERVAL 1439 MINUTE
+              WHEN seq % 14 = 13 THEN date_trunc('day', meant)
+              WHEN regexp_full_match(published_at,
                 '\\d{{4}}-\\d{{2}}-\\d{{2}}([T ]\\d{{2}}:\\d{{2}}:\\d{{2}}(\\.\\d+)?(Z|\\+\\d{{2}}:\\d{{2}})?)?')
               THEN CAST(replace(published_at, '+09:00', 'Z') AS TIMESTAMP)
                    - CASE WHEN published_at LIKE '%+09:00' THEN INTERVAL 9 HOUR ELSE INTERVAL 0 HOUR END
@@ -193,6 +203,17 @@ ORACLES: dict[str, str] = {
       SELECT group_idx, row_number() OVER (PARTITION BY group_idx ORDER BY seq) - 1 AS pos,
              title, description, url, source_name, published_at, image_url
       FROM raw JOIN kinds ON seq // 10 = group_idx WHERE kind NOT IN ('error', 'purchase')""",
+    "rejected_responses": f"""WITH {_RAW}
+      SELECT seq // 10 AS group_idx, 'error' AS status, 'unexpectedError' AS code, false AS unreadable
+      FROM raw GROUP BY 1 HAVING arg_min(event_type, seq) = 'error'""",
+    "landed_responses": f"""WITH {_RAW}, kinds AS (
+        SELECT seq // 10 AS group_idx, arg_min(event_type, seq) AS kind, count(*) AS n FROM raw GROUP BY 1)
+      SELECT group_idx,
+             CASE WHEN kind = 'error' THEN 'error' WHEN group_idx = 3 AND kind <> 'purchase' THEN 'ok' END AS status,
+             CASE WHEN group_idx = 3 AND kind <> 'purchase' THEN true WHEN kind = 'error' THEN false END AS unreadable,
+             CASE WHEN kind NOT IN ('error', 'purchase') AND group_idx <> 3 THEN n END AS records
+      FROM kinds WHERE kind <> 'purchase'""",
+    "failed_requests": f"WITH {_ARTICLES} SELECT seq FROM articles WHERE seq % 9 = 8",
     "project_articles": f"""WITH {_RAW}
       SELECT seq, lang, {_strip("title")} AS title, {_strip("coalesce(description, '')")} AS description,
              {_strip("url")} AS url, {_strip("coalesce(nullif(source_name, ''), 'Unknown')")} AS source,
@@ -223,7 +244,7 @@ ORACLES: dict[str, str] = {
       WHERE rn = 1""",
     "parse_published": f"""WITH {_SPELT}
       SELECT seq, published_at, epoch_us(ts) AS micros,
-             ts IS NOT NULL AND NOT (published_at LIKE '%Z' OR published_at LIKE '%+09:00') AS assumed_utc
+             ts IS NOT NULL AND NOT regexp_matches(published_at, '(Z|[+]0.:00(:30)?|-23:59)$') AS assumed_utc
       FROM timed""",
     "sort_newest": f"""WITH {_SPELT}
       SELECT row_number() OVER (ORDER BY ts DESC NULLS LAST, seq) AS position, seq, published_at FROM timed""",
@@ -273,16 +294,17 @@ ORACLES: dict[str, str] = {
     "issue_key": """SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d') AS issue_date,
              'weekly-news-' || strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d') AS name FROM events""",
     "archive_index": f"""WITH names AS (
-        SELECT DISTINCT 'weekly-news-' || CASE event_id % 4
+        SELECT DISTINCT 'weekly-news-' || CASE event_id % 5
           WHEN 0 THEN strftime(ts, '%Y-%m-%d')
           WHEN 1 THEN CAST(year(ts) AS VARCHAR) || '-' || CAST(month(ts) AS VARCHAR) || '-' || CAST(day(ts) AS VARCHAR)
           WHEN 2 THEN 'special-' || event_type
+          WHEN 4 THEN strftime(ts, '%Y-%m-%d') || '-extra'
           ELSE strftime(ts, '%Y-%m-31x') END AS name
         FROM events)
-      SELECT name, name || '.html' AS file_name,
+      SELECT name, name || '.html' AS file_name, row_number() OVER (ORDER BY name || '.html' DESC) AS rank,
              coalesce(strftime(CASE WHEN regexp_full_match({_SUFFIX}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}')
                                     THEN try_cast({_SUFFIX} AS DATE) END, '%Y年%m月%d日号'), {_SUFFIX}) AS display_date
-      FROM names ORDER BY name DESC""",
+      FROM names ORDER BY rank""",
     "digest_category_text": f"WITH {_ISSUES} SELECT issue_date, categories FROM texts",
     "digest_preview": f"""WITH {_ISSUES}
       SELECT issue_date, position, title_ja, greatest(total_articles - 5, 0) AS remaining

@@ -20,10 +20,10 @@ from pressloom.functions.text import strip, strip_or_empty
 from pressloom.issue import Issue
 from pressloom.lineage import cut
 from pressloom.operators import report
-from pressloom.operators.dedup import drop_near_duplicates
+from pressloom.operators.dedup import drop_near_duplicates_per_group
 from pressloom.operators.enrich import enrich, failed_requests, requests
 from pressloom.operators.ordering import newest_first, top_k_per_group, with_instant
-from pressloom.operators.quality import observed, valid_articles
+from pressloom.operators.quality import observed, observed_by_group, valid_articles
 from pressloom.operators.search import (
     assign_issues,
     exclude_domains,
@@ -59,6 +59,13 @@ class Collected:
     articles: DataFrame
     counters: dict[str, Observation] = field(default_factory=dict)
 
+    def funnel(self) -> DataFrame:
+        """The counts as a table ``(stage, n)``: found per group, found in all, valid, unique, final."""
+        raw = self.counters["collected"].get
+        rows = [(f"group_{name[1:]}", n) for name, n in sorted(raw.items()) if name != "n"] + [("all", raw["n"])]
+        rows += [(stage, self.counters[stage].get["n"]) for stage in ("valid", "unique", "final")]
+        return self.articles.sparkSession.createDataFrame(rows, "stage string, n bigint")
+
 
 @dataclass(frozen=True)
 class Digest:
@@ -107,7 +114,7 @@ def collect(articles: DataFrame, issues: Sequence[Issue], settings: Settings = S
     searched = assign_issues(with_instant(searched).drop("assumed_utc"), issues, settings.date_column)
     matches = match_groups(searched, settings.groups)
     hits = most_relevant(matches, settings.per_group, ["issue_date"], settings.key)
-    hits, seen_raw = observed(hits, "collected")
+    hits, seen_raw = observed_by_group(hits, "collected", len(settings.groups))
 
     valid = valid_articles(in_list_order(hits)).withColumns(
         {
@@ -119,7 +126,8 @@ def collect(articles: DataFrame, issues: Sequence[Issue], settings: Settings = S
     )
     valid, seen_valid = observed(valid, "valid")
     valid = cut(valid)  # at most per_group rows for each issue and group: search runs once
-    unique = drop_near_duplicates(valid, ["issue_date"], threshold=settings.similarity)
+    # An issue's list is capped at its groups times ``per_group`` rows.
+    unique = drop_near_duplicates_per_group(valid, ["issue_date"], threshold=settings.similarity)
     unique, seen_unique = observed(unique, "unique")
     chosen = top_k_per_group(unique, ["issue_date"], newest_first(), settings.per_issue)
     chosen, seen_final = observed(chosen, "final")

@@ -29,7 +29,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("seq"),
         F.trim(F.regexp_extract(html, "<title>([^<]*)</title>", 1)).alias("title"),
-        F.trim(F.regexp_extract(html, "<p>([^<]+)", 1)).alias("description"),
+        F.trim(F.array_join(F.regexp_extract_all(html, F.lit("<p>(?:<b>)?([^<]+)"), F.lit(1)), " ")).alias("description"),
         "url",
         F.regexp_extract("url", "^https?://([^/?#:]+)", 1).alias("source"),
         F.regexp_extract(html, '<html lang="([a-z]+)"', 1).alias("lang"),
@@ -37,7 +37,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published_at"), "event_type"
     )
-    return pages.join(events, F.col("event_id") == F.col("seq") * 20).drop("event_id")
+    return pages.join(events, F.col("event_id") == F.col("seq") * 20, "left").drop("event_id")
 
 
 def _role(n: int) -> Column:
@@ -112,9 +112,22 @@ def with_url_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(copies)
 
 
+def with_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All articles and their URL copies, then four rewordings of one in three: each title differs
+    from the one before by an eighth of its characters, so they form chains of like neighbours."""
+    base = with_url_copies(spark, sf_dir)
+    step, length = F.col("step"), F.length("title")
+    again = articles(spark, sf_dir).filter(_role(3) == 0).withColumn("step", F.explode(F.array(*map(F.lit, range(1, 5)))))
+    cut = F.floor(length * step / 8).cast("int")
+    again = again.withColumn("title", F.concat(F.repeat(F.lit("#"), cut), F.substring(F.col("title"), cut + 1, length)))
+    again = again.withColumn("url", F.concat("url", F.lit("&step="), step.cast("string")))
+    again = again.withColumn("seq", F.col("seq") + (step + 1) * 1_000_000_000_000).drop("step")
+    return base.unionByName(again)
+
+
 def published_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publication times in different spellings, some of them unreadable."""
-    role, text = _role(8), F.col("published_at")
+    role, text = _role(14), F.col("published_at")
     day, clock = F.substring(text, 1, 10), F.substring(text, 12, 8)
     return articles(spark, sf_dir).select(
         "seq",
@@ -125,11 +138,24 @@ def published_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(role == 5, F.concat(day, F.lit("T"), clock, F.lit(".250Z")))
         .when(role == 6, F.lit(""))
         .when(role == 7, F.concat(F.lit("on "), day))
+        .when(role == 8, F.concat(day, F.lit("t"), clock, F.lit("+00:00")))
+        .when(role == 9, F.concat(day, F.lit("_"), F.replace(clock, F.lit(":"), F.lit("")), F.lit("Z")))
+        .when(role == 10, F.concat(day, F.lit("T"), clock, F.lit("+09:00:30")))
+        .when(role == 11, F.concat(day, F.lit("T"), clock, F.lit("-23:59")))
+        .when(role == 12, F.concat(_iso_week(day), F.lit("T"), clock, F.lit("Z")))
+        .when(role == 13, F.replace(_iso_week(day), F.lit("-"), F.lit("")))
         .otherwise(text)
         .alias("published_at"),
     )
 
 
+def _iso_week(day: Column) -> Column:
+    date = day.try_cast("date")
+    thursday = F.date_add(date, 3 - F.weekday(date))  # the year of a week is that of its Thursday
+    week = F.lpad(F.weekofyear(date).cast("string"), 2, "0")
+    return F.concat(F.year(thursday).cast("string"), F.lit("-W"), week, F.lit("-"), (F.weekday(date) + 1).cast("string"))
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to three model attempts per article."""
     role, seq = _role(9), F.col("seq").cast("string")

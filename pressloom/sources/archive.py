@@ -41,14 +41,22 @@ def read_issue_files(spark: SparkSession, path: str) -> DataFrame:
     """Read ``articles-<date>.json`` files, each one JSON array of the nine article keys.
 
     The place in the array becomes ``position``, the date in the file name ``issue_date``.
-    A file holds one issue, so reading it whole is bounded by the size of an issue.
+    A file holds one issue, so reading it whole is bounded by the size of an issue. A file that is no
+    such array, or whose name holds no date, gives a row with ``unreadable`` set.
     """
     records = F.from_json(F.col("value"), T.ArrayType(ARTICLE))
     return (
         spark.read.text(path, wholetext=True)
         .select(
             F.regexp_extract(F.col("_metadata.file_name"), _FILE_DATE, 1).alias("day"),
-            F.posexplode(records).alias("pos", "a"),
+            records.isNull().alias("broken"),
+            F.posexplode_outer(records).alias("pos", "a"),
+        )
+        .filter("broken or pos is not null")  # an empty array is an empty issue
+        .select(
+            (F.col("pos") + 1).cast("bigint").alias("position"),
+            "a.*",
+            F.try_to_date("day").alias("issue_date"),
+            (F.col("broken") | F.try_to_date("day").isNull()).alias("unreadable"),
         )
-        .select((F.col("pos") + 1).cast("bigint").alias("position"), "a.*", F.try_to_date("day").alias("issue_date"))
     )

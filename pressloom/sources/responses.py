@@ -11,15 +11,13 @@ from pressloom.schemas import RESPONSE
 
 
 def read_responses(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """One row per response. The schema is fixed, so nothing is inferred; a text that is
-    not JSON ends up in ``_corrupt`` instead of failing the read."""
-    return (
-        spark.read.schema(RESPONSE)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-    )
+    """One row per response: per line, or per file with ``multi_line``.
+
+    The schema is fixed, so nothing is inferred; a text that is not JSON, or not of this schema, ends
+    up in ``_corrupt`` instead of failing the read. Texts are parsed whole whatever columns are asked
+    for, since a file reader that prunes columns does not see what is wrong with the others.
+    """
+    return parse_responses(spark.read.text(path, wholetext=multi_line).filter("trim(value) <> ''"), "value")
 
 
 def parse_responses(bodies: DataFrame, body: str = "body") -> DataFrame:
@@ -37,11 +35,12 @@ def _accepted() -> Column:
 def raw_articles(responses: DataFrame) -> DataFrame:
     """Raw records of accepted responses, with their place in the response.
 
-    A response whose status is not ``ok`` or that has no article list gives no rows.
+    A response whose status is not ``ok`` or that has no article list gives no rows. ``unreadable``
+    marks records of a response of which some part did not fit the schema and was nulled.
     """
     return (
         responses.filter(_accepted())
-        .select("group_idx", F.posexplode("articles").alias("pos", "raw"))
+        .select("group_idx", "_corrupt", F.posexplode("articles").alias("pos", "raw"))
         .select(
             "group_idx",
             F.col("pos").cast("bigint").alias("pos"),
@@ -51,13 +50,14 @@ def raw_articles(responses: DataFrame) -> DataFrame:
             F.col("raw.source.name").alias("source_name"),
             F.col("raw.publishedAt").alias("published_at"),
             F.col("raw.urlToImage").alias("image_url"),
+            F.col("_corrupt").isNotNull().alias("unreadable"),
         )
     )
 
 
 def rejected_responses(responses: DataFrame) -> DataFrame:
-    """Responses that contribute no articles because they report an error or are unreadable."""
-    return responses.filter(~_accepted()).select(
+    """Responses that report an error, and those of which all or some could not be read."""
+    return responses.filter(~_accepted() | F.col("_corrupt").isNotNull()).select(
         "group_idx", "status", "code", "message", F.col("_corrupt").isNotNull().alias("unreadable")
     )
 

@@ -12,22 +12,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pressloom.functions.text import parse_instant, utc_date
 from pressloom.operators.quality import valid_articles
-from pressloom.schemas import RESPONSE
-from pressloom.sources.responses import project_articles, raw_articles
+from pressloom.sources.responses import parse_responses, project_articles, raw_articles, rejected_responses
 
 
 def stream_articles(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """Valid articles from new response files (JSON lines) under ``path``."""
-    responses = (
-        spark.readStream.schema(RESPONSE)
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .json(path)
-    )
+    responses = _landed(spark, path, files_per_trigger)
     articles = project_articles(valid_articles(raw_articles(responses)))
     return articles.withColumn("published_date", utc_date(parse_instant(F.col("published_at"))))
 
 
+def stream_rejected(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """The responses among them that report an error or could not be read, wholly or in part."""
+    return rejected_responses(_landed(spark, path, files_per_trigger))
+
+
+def _landed(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+    return parse_responses(lines.filter("trim(value) <> ''"), "value")
+
+
 def store_articles(articles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append to an article table partitioned by UTC date, which the date window then prunes.
 

@@ -7,6 +7,10 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as contract  # noqa: E402
+from models import ratio, survivors  # noqa: E402
+from pressloom.plans import tables  # noqa: E402
+from pressloom.plans.catalog import QUERIES  # noqa: E402
+from pressloom.plans.catalog_sql import ORACLES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -21,9 +25,9 @@ def other():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, other, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     want = other.sql(contract.oracle_sql()[name])
     assert sorted(df.columns) == sorted(want.columns)
     types = dict(zip(want.columns, map(str, want.types)))
@@ -35,10 +39,31 @@ def test_query_equals_sql(spark, other, name):
     assert rows
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
-def test_query_runs(spark, name):
-    df = contract.queries()[name](spark, SF_DIR)
-    assert df.columns and df.count() >= 0
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_without_sql_gives_rows(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    assert df.columns and df.count() > 0
+
+
+def test_duplicates_of_the_whole_table_equal_the_loop(spark):
+    rows = [(r.seq, r.title, r.url) for r in tables.with_near_copies(spark, SF_DIR).collect()]
+    want = survivors(rows)
+    assert sorted(r.seq for r in QUERIES["dedup_greedy"](spark, SF_DIR).collect()) == want
+    assert len(want) < len(rows) / 2
+
+
+def test_first_similar_titles_of_the_whole_table_equal_the_loop(spark):
+    first = {}
+    for seq, title in sorted((r.seq, r.title.lower()) for r in tables.with_near_copies(spark, SF_DIR).collect()):
+        first.setdefault(title, seq)
+    titles = sorted((seq, title) for title, seq in first.items())
+    want = {
+        next((b, a) for a, earlier in titles[:i] if ratio(later, earlier) >= 0.75)
+        for i, (b, later) in enumerate(titles)
+        if any(ratio(later, earlier) >= 0.75 for _, earlier in titles[:i])
+    }
+    got = QUERIES["title_pairs"](spark, SF_DIR).collect()
+    assert len(got) == len(want) > 20
 
 
 def test_entry(spark):

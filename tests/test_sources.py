@@ -8,7 +8,7 @@ from pressloom.lineage import shared_dir
 from pressloom.operators.quality import valid_articles
 from pressloom.schemas import ARTICLE
 from pressloom.sources import archive, responses
-from pressloom.streaming.landing import store_articles, stream_articles
+from pressloom.streaming.landing import store_articles, stream_articles, stream_rejected
 
 
 def raw(**fields):
@@ -34,6 +34,7 @@ RESPONSES = [
     {"group_idx": 2, "status": "error", "code": "rateLimited", "message": "slow down", "articles": [raw()]},
     {"group_idx": 3, "status": "ok"},
     {"group_idx": 4, "articles": [raw()]},
+    {"group_idx": 6, "status": "ok", "articles": "oops"},
 ]
 
 
@@ -52,7 +53,16 @@ def test_responses(spark, landed):
     assert [r.pos for r in rows] == list(range(len(RECORDS)))
     assert {r.group_idx for r in rows} == {1}
     rejected = {(r.group_idx, r.code, r.unreadable) for r in responses.rejected_responses(read).collect()}
-    assert rejected == {(2, "rateLimited", False), (4, None, False), (None, None, True)}
+    assert rejected == {(2, "rateLimited", False), (4, None, False), (6, None, True), (None, None, True)}
+    assert not any(r.unreadable for r in rows)
+
+
+def test_a_field_of_another_type_flags_its_response(spark, tmp_path):
+    body = {"group_idx": 7, "status": "ok", "articles": [raw(source="BBC")]}
+    (tmp_path / "one.json").write_text(json.dumps(body, indent=1))
+    read = responses.read_responses(spark, str(tmp_path), multi_line=True)
+    assert [(r.group_idx, r.title, r.source_name, r.unreadable) for r in responses.raw_articles(read).collect()] == [(7, "T", None, True)]
+    assert [(r.group_idx, r.unreadable) for r in responses.rejected_responses(read).collect()] == [(7, True)]
 
 
 def test_text_bodies_give_the_same_rows(spark, landed):
@@ -98,7 +108,13 @@ def test_issue_files(spark, tmp_path):
     rows = archive.read_issue_files(spark, str(tmp_path / "articles-*.json")).collect()
     assert len(rows) == 11
     assert all(r.title == f"title {r.position - 1}" and r.image_url is None for r in rows)
-    assert {r.issue_date for r in rows} == {date(2026, 2, 22), date(2026, 2, 23)}
+    assert {r.issue_date for r in rows} == {date(2026, 2, 22), date(2026, 2, 23)} and not any(r.unreadable for r in rows)
+    (tmp_path / "articles-2026-02-24.json").write_text("[{broken")
+    (tmp_path / "articles-2026-02-25.json").write_text("[]")
+    (tmp_path / "articles-undated.json").write_text(json.dumps([{"title": "t"}]))
+    rows = archive.read_issue_files(spark, str(tmp_path / "articles-*.json")).collect()
+    assert sorted((str(r.issue_date), r.title) for r in rows if r.unreadable) == [("2026-02-24", None), ("None", "t")]
+    assert len(rows) == 13
 
 
 def test_stream_picks_up_new_files_once(spark, landed, tmp_path):
@@ -109,6 +125,9 @@ def test_stream_picks_up_new_files_once(spark, landed, tmp_path):
         query.awaitTermination(120)
         return spark.read.parquet(out)
 
+    rejected = stream_rejected(spark, landed).writeStream.format("memory").queryName("rejected").trigger(availableNow=True).start()
+    rejected.awaitTermination(120)
+    assert {r.group_idx for r in spark.table("rejected").collect()} == {2, 4, 6, None}
     assert run().count() == 6
     (tmp_path / "landed" / "b.json").write_text(json.dumps({"group_idx": 5, "status": "ok", "articles": [raw(title="late")]}))
     assert run().count() == 7
