@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.llm.shared import dropped, fresh, map_arrow, received, send, stored, utf8
-from pressloom.llm.words import SLICE_BYTES, mix
+from pressloom.llm.words import SLICE_BYTES, buffers, mix
 
 GRAM = 4
 #: Bounds of what is learned: about so many documents per language (chosen by a hash of their id),
@@ -47,9 +47,7 @@ def remainder(column: str = "doc_id") -> Column:
 
 def grams(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of a binary array: first row, number of rows, n-grams, row of each n-gram."""
-    _, offsets, data = texts.buffers()
-    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    ends, raw = buffers(texts)
     row = 0
     while row < len(texts):
         stop = max(row + 1, int(np.searchsorted(ends, ends[row] + most, "right")) - 1)

@@ -118,13 +118,19 @@ def _count(sketch: np.ndarray, sets: list[np.ndarray]) -> None:
         sketch += np.bincount(at.astype(np.int64), minlength=len(sketch)).astype(np.uint32)
 
 
-def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.minimum(a.astype(np.uint64) + b, np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def _counters(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), np.uint32)
+
+
+def _add(a: bytes, b: bytes) -> bytes:
+    total = np.minimum(_counters(a).astype(np.uint64) + _counters(b), np.uint64(0xFFFFFFFF))
+    return zlib.compress(total.astype(np.uint32).tobytes(), 1)
 
 
 def _sketch(profiles: DataFrame, bits: int) -> np.ndarray:
-    parts: RDD = profiles.filter("sketch is not null").select("sketch").rdd
-    return parts.map(lambda r: np.frombuffer(zlib.decompress(bytes(r[0])), np.uint32)).treeReduce(_add) if not parts.isEmpty() else np.zeros(1 << bits, np.uint32)
+    """The sum of all tasks' sketches; on the way to the driver they stay packed."""
+    parts: RDD = profiles.filter("sketch is not null").select("sketch").rdd.map(lambda r: bytes(r[0]))
+    return _counters(parts.treeReduce(_add)) if not parts.isEmpty() else np.zeros(1 << bits, np.uint32)
 
 
 def prefix(shingles: np.ndarray, sketch: np.ndarray, load: float, percent: int) -> tuple[np.ndarray, int]:

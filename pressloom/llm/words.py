@@ -71,12 +71,17 @@ class Words:
         return mix(out ^ np.uint64(k)), np.arange(n) + k <= last
 
 
-def slices(texts: pa.Array, codes: np.ndarray, most: int = SLICE_BYTES) -> Iterator[Words]:
-    """Words of all texts of a binary Arrow array (no nulls), some texts at a time."""
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text of a binary array begins, with the end of the last, and all their bytes."""
     size = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
     _, offsets, data = texts.buffers()
     ends = np.frombuffer(offsets, size)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return ends, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+
+
+def slices(texts: pa.Array, codes: np.ndarray, most: int = SLICE_BYTES) -> Iterator[Words]:
+    """Words of all texts of a binary Arrow array (no nulls), some texts at a time."""
+    ends, raw = buffers(texts)
     row, powers = 0, _powers(min(most, len(raw)).bit_length())
     while row < len(texts):
         stop = max(row + 1, int(np.searchsorted(ends, ends[row] + most, "right")) - 1)
