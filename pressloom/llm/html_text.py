@@ -57,7 +57,7 @@ _WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr"
     " notice notices newsletter subscribe signup sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments"
     " disqus footer related share sharing social popup modal overlay toolbar pager pagination complementary contentinfo"
-    " search alert".split()
+    " search alert widget widgets topbar".split()
 )
 _OUTSIDE = frozenset("header masthead banner".split())  # these only outside of articles
 _ROOTS = frozenset("html body main article".split())
@@ -179,16 +179,19 @@ def _boilerplate(node: Node, inside: bool) -> bool:
 
 
 def _articles(root: Node) -> list[Node]:
-    """The outermost articles that no boilerplate holds; else the main parts."""
-    for tag in ("article", "main"):
+    """The outermost articles that no boilerplate holds; else any; else the main parts.
+
+    A wrapper around everything may have a name such as ``with-sidebar``, hence the second look.
+    """
+    for tag, anywhere in (("article", False), ("article", True), ("main", False), ("main", True)):
         found, rest = [], [root]
         while rest:
             node = rest.pop()
             if node.tag == tag and not _boilerplate(node, True):
                 found.append(node)
-            elif node is root or not _boilerplate(node, False):
+            elif node is root or (anywhere and node.tag not in _DROPPED) or not _boilerplate(node, False):
                 rest += [c for c in reversed(node.children) if isinstance(c, Node)]
-            if tag == "main" and "main" in node.names and node.tag in _CONTAINERS and not found:
+            if tag == "main" and not anywhere and "main" in node.names and node.tag in _CONTAINERS and not found:
                 found.append(node)
         if found:
             return found

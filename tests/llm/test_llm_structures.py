@@ -90,6 +90,7 @@ def test_trees_and_boilerplate():
     assert text("<ul><li>a<li>b</ul><table><tr><td>1<td>2</table>") == "a b 1 2"
     assert text("< b & c <") == "< b & c <" and text("") == "" and text("<b><p>x</b> y</p> z") == "x y z"
     assert text("<div>" * 5000 + "deep") == "deep"
+    assert text("<div class='content with-sidebar'><article><p>a</article></div><p>o") == "a"
     assert text("<main><div class='cookie-notice'>c</div><p>m</p></main><p>o") == "m"
 
 
