@@ -130,7 +130,10 @@ def _add(a: bytes, b: bytes) -> bytes:
 def _sketch(profiles: DataFrame, bits: int) -> np.ndarray:
     """The sum of all tasks' sketches; on the way to the driver they stay packed."""
     parts: RDD = profiles.filter("sketch is not null").select("sketch").rdd.map(lambda r: bytes(r[0]))
-    return _counters(parts.treeReduce(_add)) if not parts.isEmpty() else np.zeros(1 << bits, np.uint32)
+    if parts.isEmpty():
+        return np.zeros(1 << bits, np.uint32)
+    # Steps of about four at a time, so that a few sketches reach the driver from any number of tasks.
+    return _counters(parts.treeReduce(_add, max(2, parts.getNumPartitions().bit_length() // 2)))
 
 
 def prefix(shingles: np.ndarray, sketch: np.ndarray, load: float, percent: int) -> tuple[np.ndarray, int]:
