@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -61,24 +62,21 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     state = stored(keys)
     most = state.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
     jumps = []  # jumps[k]: from a message to its ancestor 2^k replies up
+    finished, active = [state.filter("up is null")], state.filter("up is not null")
     while True:
-        jumps.append(state.filter("up is not null").select("conv_id", "id", "up"))
-        if jumps[-1].isEmpty() or 1 << len(jumps) > 2 * most:
+        jumps.append(active.select("conv_id", "id", "up"))
+        if active.isEmpty() or 1 << len(jumps) > 2 * most:
             break
-        above = state.select(
+        # Messages that have reached their root wait; the others add what their ancestor has.
+        above = reduce(DataFrame.unionAll, [*finished, active]).select(
             F.col("conv_id").alias("c"), F.col("id").alias("i"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("depth").alias("d2")
         )
-        joined = state.join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("i")), "left")
-        state = stored(
-            joined.select(
-                "conv_id",
-                "id",
-                F.col("up2").alias("up"),
-                (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
-                (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-            )
-        )
-    rooted = state.filter("up is null")
+        joined = active.join(above, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("i")))
+        moved = joined.select("conv_id", "id", F.col("up2").alias("up"), (F.col("total") + F.col("t2")).alias("total"), (F.col("depth") + F.col("d2")).alias("depth"))
+        moved = stored(moved)
+        finished.append(moved.filter("up is null"))
+        active = moved.filter("up is not null")
+    rooted = reduce(DataFrame.unionAll, finished)
     replied = jumps[0].select(F.col("conv_id").alias("c"), F.col("up").alias("i")).distinct()
     leaves = rooted.join(replied, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i")), "left_anti")
     rank = Window.partitionBy("conv_id").orderBy(F.desc("total"), F.desc("depth"), "id")
