@@ -1,14 +1,18 @@
 """Personal data, and terms that reveal it, by information-theoretic sanitisation.
 
 Patterns find the protected entities: e-mail addresses, IP addresses, payment cards and phone
-numbers. A term is a word of letters. Over the whole corpus, a term discloses an entity as far as its
-occurrence tells of the entity's: the pointwise mutual information of the two, as a share of the
-entity's own information (1: the term occurs with that entity only). Terms met beside one entity in
-``SUPPORT`` different texts or more, and disclosing ``GENERALISE`` or more of it, are generalised;
-from ``REMOVE`` on they are removed. All of it is DataFrame functions.
-
-Contexts are ``CONTEXT`` words on both sides of an entity, so work and rows follow the number of
-entities. Copies count towards frequencies, but not towards the number of different texts. Null texts are empty and have no spans. Where patterns of
+numbers. A term is a word of letters outside of e-mail addresses. Over the whole corpus, a term
+discloses an entity as far as its occurrence in a text tells of the entity's: the pointwise mutual
+information of the two, as a share of the entity's own information (1: the term occurs with that entity
+only). Few texts prove little, so the share of the term's texts that have the entity is bounded from
+below, as if ``DOUBT`` more texts had the term without it. Terms whose bounded disclosure is
+``GENERALISE`` or more are generalised; those whose disclosure is ``REMOVE`` or more besides are
+removed. All of it is DataFrame functions.
+
+Terms and entities meet in whole texts. Terms that lie in the same texts are one class there, and so
+are entities; pairs of classes whose counts cannot reach the threshold are never made. Copies count
+towards frequencies, but not towards the number of different texts that prove something. Null texts
+are empty and have no spans. In scripts without spaces a run of letters is one term. Where patterns of
 different kinds overlap each is reported; sanitised texts replace the one that starts first, or the
 longest. Repeated rows are judged each.
 """
@@ -29,10 +33,12 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 8, 3, 0.9, 0.98
+GENERALISE, REMOVE = 0.9, 0.98
+#: The square of the 95 % quantile: n texts of n bound their share by n / (n + DOUBT), after Wilson.
+DOUBT = 2.71
 #: Up to so many rows of terms or texts are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-TERM = r"(?<![\p{L}\p{N}])\p{L}{3,30}(?![\p{L}\p{N}])"
+TERM = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?![\p{L}\p{N}])"
 
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 _BLOCK = 256
@@ -105,21 +111,9 @@ def found(text: Column) -> Column:
 
 
 def _terms(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
-
-
-def _contexts(text: Column, spans: Column, words: int) -> Column:
-    """entity (a hash of kind and value) and term for the terms beside every span."""
-    width = 12 * words
-
-    def beside(s: Column) -> Column:
-        left = F.regexp_extract_all(F.substring(text, F.greatest(s["start"] - width, F.lit(0)) + 1, F.least(s["start"], F.lit(width))), F.lit(TERM), F.lit(0))
-        right = F.regexp_extract_all(F.substring(text, s["end"] + 1, F.lit(width)), F.lit(TERM), F.lit(0))
-        near = F.concat(F.slice(F.reverse(left), 1, words), F.slice(right, 1, words))
-        entity = F.xxhash64(s["kind"], F.lower(s["value"]))
-        return F.transform(near, lambda w: F.struct(entity.alias("entity"), F.lower(w).alias("term")))
-
-    return F.array_distinct(F.flatten(F.transform(spans, beside)))
+    """The different terms outside of e-mail addresses; other kinds hold no letters."""
+    outside = F.regexp_replace(text, F.lit(PATTERNS["email"]), F.lit("0"))
+    return F.array_distinct(F.transform(F.regexp_extract_all(outside, F.lit(TERM), F.lit(0)), lambda w: F.lower(w)))
 
 
 def _key(text: Column) -> Column:
@@ -131,37 +125,60 @@ def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def based(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """doc_id, text key, base spans and their contexts; stored, so texts are searched once."""
+def based(docs: DataFrame) -> DataFrame:
+    """doc_id, text key, base spans and the terms of texts with spans; stored, so texts are searched once."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), _key(text).alias("key"), let(text, found).alias("spans"))
-    near = F.when(F.size("spans") > 0, _contexts(F.col("text"), F.col("spans"), context))
-    return stored(rows.select("doc_id", "key", "spans", near.alias("near")))
-
-
-def revealing(docs: DataFrame, base: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """term, disclosure for the terms that disclose ``least`` or more of some entity."""
-    met = base.filter("near is not null").select("key", F.explode("near").alias("near")).groupBy("key", "near").count()
-    both = met.groupBy("near.entity", "near.term").agg(F.sum("count").alias("both"), F.count("*").alias("texts"))
-    both = both.filter(F.col("texts") >= support)
-    entity = F.transform("spans", lambda s: F.xxhash64(s["kind"], F.lower(s["value"])))
-    of_entity = base.select(F.explode(F.array_distinct(entity)).alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
-    beside = met.groupBy("near.term", "key").agg(F.max("count").alias("count")).groupBy("term").agg(F.sum("count").alias("beside"))
-    texts = float(base.count())
-    # A term occurs in the texts that have it beside some entity at least, so common words, which
-    # are beside many, cannot reach the threshold and need not be counted over the corpus.
-    reach = F.col("both") * F.pow(F.lit(texts) / F.col("with_entity"), F.lit(1 - least)) * (1 + 1e-9)
-    both = stored(both.join(of_entity, "entity").join(beside, "term").filter(reach >= F.col("beside")))
-    if both.isEmpty():
-        return both.select("term", F.lit(1.0).alias("disclosure"))
-    wanted = _small(stored(both.select("term").distinct()))
-    with_term = docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term")).join(wanted, "term")
-    with_term = with_term.groupBy("term").agg(F.count("*").alias("with_term"))
-    own = F.log(F.lit(texts) / F.col("with_entity"))
-    shared = F.log(F.col("both") * F.lit(texts) / (F.col("with_term") * F.col("with_entity")))
-    told = F.when(own > 0, shared / own).otherwise(0.0)
-    rows = both.join(with_term, "term").select("term", told.alias("disclosure"))
-    return rows.groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= least)
+    return stored(rows.select("doc_id", "key", "spans", F.when(F.size("spans") > 0, _terms(F.col("text"))).alias("terms")))
+
+
+#: What texts a term or an entity lies in: their number, and two sums of hashes.
+_TEXTS = ("texts", "sum", "xor")
+
+
+def _texts() -> list[Column]:
+    key = F.xxhash64("key")
+    return [F.count("*").alias("texts"), F.sum(F.shiftright(key, 32)).alias("sum"), F.bit_xor(key).alias("xor")]
+
+
+def revealing(docs: DataFrame, base: DataFrame, doubt: float = DOUBT, least: float = GENERALISE) -> DataFrame:
+    """term, disclosure for the terms whose bounded disclosure of some entity is ``least`` or more."""
+    entities = F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))))
+    found_ = base.filter(F.size("spans") > 0).select("key", entities.alias("entities"), "terms")
+    one = [F.first(c).alias(c) for c in ("entities", "terms")]
+    found_ = stored(found_.groupBy("key").agg(F.count("*").alias("copies"), *one))
+    rows = float(base.count())
+
+    own = found_.select("key", "copies", F.explode("entities").alias("entity"))
+    of_entity = stored(own.groupBy("entity").agg(F.sum("copies").alias("with_entity"), *_texts()))
+    most = F.col("with_entity") * F.pow(F.lit(rows) / F.col("with_entity"), F.lit(1 - least))
+    reach, rarest = of_entity.agg(F.max(most), F.min("with_entity")).first()
+    if reach is None:
+        return found_.select(F.lit("").alias("term"), F.lit(1.0).alias("disclosure"))
+    of_entity = of_entity.groupBy("with_entity", *_TEXTS).agg(F.min("entity").alias("entity"))
+    of_entity = stored(of_entity.select("entity", "with_entity"))
+    own = own.select("key", "entity").join(_small(of_entity), "entity")
+
+    # Terms in more texts than ``reach`` tell too little of any entity; those in too few prove too little.
+    beside = found_.select("key", "copies", F.explode("terms").alias("term"))
+    of_term = beside.groupBy("term").agg(*_texts())
+    of_term = of_term.filter(F.col("texts") / (F.col("texts") + doubt) * (1 + 1e-9) >= (rarest / rows) ** (1 - least))
+    counts = docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term"))
+    counts = counts.groupBy("term").agg(F.count("*").alias("with_term")).filter(F.col("with_term") <= reach * (1 + 1e-9))
+    of_term = stored(of_term.join(counts, "term"))
+    classes = stored(of_term.groupBy("with_term", *_TEXTS).agg(F.min("term").alias("class")))
+    met = beside.join(_small(classes.select(F.col("class").alias("term"), "with_term")), "term")
+
+    possible = most * (1 + 1e-9) >= F.col("with_term")
+    both = met.join(own, "key").filter(possible).groupBy("term", "with_term", "entity", "with_entity")
+    both = both.agg(F.sum("copies").alias("both"), F.count("*").alias("texts"))
+    information = F.log(F.lit(rows) / F.col("with_entity"))
+    told = (F.log(F.col("both") / F.col("with_term")) + information) / information
+    bounded = told + F.log(F.col("texts") / (F.col("texts") + doubt)) / information
+    both = both.filter(information > 0).select(F.col("term").alias("class"), told.alias("told"), bounded.alias("bounded"))
+    told_of = both.filter(F.col("bounded") >= least).groupBy("class").agg(F.max("told").alias("disclosure"))
+    told_of = told_of.join(classes, "class")
+    return of_term.join(told_of.drop("class"), ["with_term", *_TEXTS]).select("term", "disclosure")
 
 
 def _term_spans(docs: DataFrame, terms: DataFrame, remove: float) -> DataFrame:
@@ -185,12 +202,10 @@ def _term_spans(docs: DataFrame, terms: DataFrame, remove: float) -> DataFrame:
     return stored(texts.select("key", F.transform(spans, named).alias("more")))
 
 
-def spans(
-    docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, context: int = CONTEXT
-) -> DataFrame:
+def spans(docs: DataFrame, doubt: float = DOUBT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """doc_id, key and spans per row: base ones by kind and start, then terms outside of those by start."""
-    base = based(docs, context)
-    terms = stored(revealing(docs, base, support, generalise))
+    base = based(docs)
+    terms = stored(revealing(docs, base, doubt, generalise))
     if terms.isEmpty():
         return base.select("doc_id", "key", "spans")
     more = _small(_term_spans(docs, terms, remove))

@@ -132,6 +132,23 @@ def test_terms_that_reveal_an_entity_are_found_and_others_left(spark):
     assert all("Zorblatt" not in clean[i] and "<EMAIL>" in clean[i] and "ann@" not in clean[i] for i in range(300, 312))
 
 
+def test_terms_reveal_an_entity_from_anywhere_in_a_text(spark):
+    """Far from it, in two texts only, in long runs of letters; rare terms of other texts stay."""
+    common = "alpha beta gamma delta " * 6
+    long = "Zorblatt" * 5
+    texts = [f"some common word {i}" for i in range(12_000)]
+    texts += [f"Quenby {common} ann@example.org", f"{common} ann@example.org {common} quenby"]
+    texts += [f"{long} {common} x{i} bob@example.org" for i in range(3)] + [f"Quenbyx {common}", "tuskar@example.org tuskar"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    assert not any(got[i] for i in range(12_000)) and got[12_005] == ""
+    for i in (12_000, 12_001):
+        mail, name = texts[i].find("ann@"), texts[i].lower().find("quenby")
+        assert got[i] == f"email:{mail}:{mail + 15},removed:{name}:{name + 6}"
+    assert all(got[i].endswith(",removed:0:40") for i in (12_002, 12_003, 12_004))
+    assert got[12_006] == "email:0:18"
+
+
 def unpacked(rows, ids):
     """Checks every promise of packing; the sizes of the sequences."""
     pieces, places = defaultdict(list), defaultdict(list)
