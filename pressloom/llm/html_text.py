@@ -4,8 +4,10 @@ Every element's subtree is hashed. Spark counts, per host, in how many different
 occurs; subtrees that recur across many pages of a host are its template and are deleted. Of what is
 left, a page's articles (or its main part, or else its body) give the text, without elements that are
 navigation, headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments by their
-tag, class, id or role. Within an article, paragraphs and headings are never deleted as template: a
-passage that several articles quote is text.
+tag, class, id or role. Containers (divisions, lists, tables) with all they hold are template from
+``TEMPLATE_PAGES`` pages on, on a host of any size and within articles too. Other elements are so only
+outside of articles and if ``TEMPLATE_SHARE`` of the host's pages have them: a lone paragraph that
+several articles quote is text. A container that holds most of an article is never template.
 
 Character references are decoded, white space becomes one space, blocks are joined by one space. Null
 and empty pages have no text. Unclosed and misnested tags are closed as their parents close. Pages
@@ -26,9 +28,9 @@ from pyspark.sql import functions as F
 
 from pressloom.llm.shared import map_arrow, stored
 
-#: A subtree is template from so many pages of the host on, if they are also this share of its pages.
-#: A host so has at most 1 / TEMPLATE_SHARE times as many templates as a page has elements.
 TEMPLATE_PAGES, TEMPLATE_SHARE = 5, 0.1
+#: Up to so many templates of a host go along with each of its pages; of more, each page gets its own ones.
+HOST_LIST = 512
 BROADCAST_ROWS = 200_000
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,7 +63,6 @@ _WORDS = frozenset(
 )
 _OUTSIDE = frozenset("header masthead banner".split())  # these only outside of articles
 _ROOTS = frozenset("html body main article".split())
-_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _CONTAINERS = frozenset("div section ul ol dl figure table details header center fieldset".split())
 
 _TAG = re.compile(
@@ -74,10 +75,10 @@ _PARTS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("children", "digest", "names", "tag", "text_inside")
+    __slots__ = ("children", "digest", "names", "size", "tag")
 
     def __init__(self, tag: str, attributes: str):
-        self.tag, self.children, self.digest, self.text_inside = tag, [], 0, tag in _TEXT
+        self.tag, self.children, self.digest, self.size = tag, [], 0, 0
         self.names: frozenset[str] = frozenset()
         if attributes:
             values = "".join(" " + "".join(m) for m in _NAMED.findall(attributes))
@@ -88,11 +89,15 @@ class Node:
         own = xxhash.xxh64(self.tag + "".join(self.names and sorted(self.names) or ()))
         for child in self.children:
             if isinstance(child, str):
-                own.update(" ".join(child.split()))
+                text = " ".join(child.split())
+                own.update(text)
+                self.size += len(text)
             else:
                 own.update(child.digest.to_bytes(8, "little"))
-                self.text_inside |= child.text_inside
+                self.size += child.size
             own.update("\0")
+        if self.tag in _DROPPED:
+            self.size = 0
         self.digest = own.intdigest()
 
 
@@ -155,6 +160,12 @@ def parse(page: str) -> Node:
     return root
 
 
+def key(node: Node) -> int:
+    """The hash of a subtree as a signed number, odd for containers."""
+    digest = node.digest & ~1 | (node.tag in _CONTAINERS)
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
 def subtrees(root: Node) -> set[int]:
     """Hashes of all elements that could be template, as signed numbers."""
     found, rest = set(), [root]
@@ -163,7 +174,7 @@ def subtrees(root: Node) -> set[int]:
             if isinstance(child, Node):
                 rest.append(child)
                 if child.children and child.tag not in _ROOTS and child.tag not in _RAW:
-                    found.add(child.digest - (1 << 64) if child.digest >> 63 else child.digest)
+                    found.add(key(child))
     return found
 
 
@@ -201,7 +212,7 @@ def _articles(root: Node) -> list[Node]:
 def text_of(root: Node, templates: frozenset[int] | set[int] = frozenset()) -> str:
     """The main text of a page without the subtrees in ``templates``."""
     articles = _articles(root)
-    inside = bool(articles)
+    inside, total = bool(articles), sum(a.size for a in articles)
     out: list[str] = []
     rest: list[Node | str] = list(reversed(articles or [root]))
     while rest:
@@ -212,12 +223,14 @@ def text_of(root: Node, templates: frozenset[int] | set[int] = frozenset()) -> s
         if node.tag and not any(node is a for a in articles):
             if _boilerplate(node, inside):
                 continue
-            if templates and node.tag not in _ROOTS and (not inside or (node.tag in _CONTAINERS and not node.text_inside)):
-                if (node.digest - (1 << 64) if node.digest >> 63 else node.digest) in templates:
-                    continue
+            # What holds most of an article is its text, on however many pages.
+            judged = node.tag not in _ROOTS and (not inside or (node.tag in _CONTAINERS and 2 * node.size <= total))
+            if templates and judged and key(node) in templates:
+                continue
         edge = [" "] if node.tag in _BLOCK or not node.tag else []
         rest += edge + node.children[::-1] + edge
-    return " ".join("".join(out).split())
+    text = " ".join("".join(out).split())
+    return text_of(root) if inside and templates and not text else text
 
 
 def host(url: Column) -> Column:
@@ -225,8 +238,8 @@ def host(url: Column) -> Column:
     return F.regexp_replace(name, r"^www\.", "")
 
 
-def templates(pages: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """host, templates (hashes of recurring subtrees) for the hosts that have some."""
+def _subtrees(rows: DataFrame) -> DataFrame:
+    """host, page and subtree for rows of host, page, html."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -236,20 +249,38 @@ def templates(pages: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMP
                 take = pa.array([i for i, s in enumerate(own) for _ in s], pa.int64())
                 yield {"host": some.column(0).take(take), "page": some.column(1).take(take), "subtree": [h for s in own for h in s]}
 
-    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), F.col("html")).filter("html is not null")
-    met = map_arrow(rows, run, "host string, page long, subtree long").distinct()
-    many = met.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    return map_arrow(rows.select("host", "page", "html"), run, "host string, page long, subtree long").distinct()
+
+
+def templates(rows: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+    """host, subtree for the recurring subtrees among rows of host, page, html."""
+    many = _subtrees(rows).groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
     sizes = rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    many = many.join(sizes, "host").filter(F.col("n") >= share * F.col("pages"))
-    return many.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    container = F.col("subtree").bitwiseAND(F.lit(1)) == 1
+    return many.join(sizes, "host").filter(container | (F.col("n") >= share * F.col("pages"))).select("host", "subtree")
+
+
+def _small(df: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(df) if size <= BROADCAST_ROWS else df
 
 
-def main_texts(pages: DataFrame) -> DataFrame:
+def main_texts(pages: DataFrame, host_list: int = HOST_LIST) -> DataFrame:
     """page_id, url, text and n_chars for every row of ``pages``."""
-    known = stored(templates(pages))
-    known = F.broadcast(known) if (known.agg(F.sum(F.size("templates"))).first()[0] or 0) <= BROADCAST_ROWS else known
-    rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.join(known, "host", "left").select("page_id", "url", "html", "templates")
+    html_ = F.coalesce("html", F.lit(""))
+    rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), html_.alias("html"))
+    known = stored(templates(rows.filter("html != ''")))
+    sizes = stored(known.groupBy("host").agg(F.count("*").alias("size")))
+    short = known.join(sizes.filter(F.col("size") <= host_list), "host")
+    short = short.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    total = sizes.filter(F.col("size") <= host_list).agg(F.sum("size")).first()[0] or 0
+    source = rows.join(_small(short, total), "host", "left")
+    long = sizes.filter(F.col("size") > host_list).select("host")
+    if not long.isEmpty():
+        own = _subtrees(rows.join(F.broadcast(long) if long.count() <= BROADCAST_ROWS else long, "host"))
+        own = own.join(_small(known, known.count()), ["host", "subtree"])
+        own = own.groupBy("host", "page").agg(F.collect_list("subtree").alias("own"))
+        source = source.join(stored(own), ["host", "page"], "left").withColumn("templates", F.coalesce("own", "templates"))
+    source = source.select("page_id", "url", "html", "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -258,4 +289,4 @@ def main_texts(pages: DataFrame) -> DataFrame:
                 texts = [text_of(parse(p), set(t or ())) for p, t in zip(some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True)]
                 yield {"page_id": some.column(0), "url": some.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
 
-    return map_arrow(rows, run, "page_id long, url string, text string, n_chars long")
+    return map_arrow(source, run, "page_id long, url string, text string, n_chars long")

@@ -111,6 +111,21 @@ def test_recurring_subtrees_of_a_host_are_deleted(spark):
     assert html_text.main_texts(pages.limit(0)).count() == 0
 
 
+def test_templates_within_articles_and_on_large_hosts(spark):
+    def page(i, notice):
+        notice = f'<div class="x7"><p>Subscribe to {notice}</p></div>'
+        return (i, f"http://c.example/{i}", f"<article><p>Own text {i}</p>{notice}<p>Quoted passage</p></article>")
+
+    rows = [page(i, "us" if i < 6 else f"number {i}") for i in range(100)]
+    rows += [(200 + i, f"http://d.example/{i}", f"<nav>{i}</nav><article><h1>Title</h1><div><p>The same article</p></div></article>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for host_list in (html_text.HOST_LIST, 0):
+        got = {r.page_id: r.text for r in html_text.main_texts(pages, host_list).collect()}
+        assert all(got[i] == f"Own text {i} Quoted passage" for i in range(6))
+        assert all(got[i] == f"Own text {i} Subscribe to number {i} Quoted passage" for i in range(6, 100))
+        assert all(got[200 + i] == "Title The same article" for i in range(6))
+
+
 def test_components_of_stars_chains_and_loops(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1300)] + [(5000, 5000), (6000, 6001), (6001, 6000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
