@@ -61,6 +61,9 @@ _WORDS = frozenset(
     " disqus footer related share sharing social popup modal overlay toolbar pager pagination complementary contentinfo"
     " search alert widget widgets topbar".split()
 )
+#: Text of these is never a page's while it has other text; ``with-sidebar`` is no sidebar.
+_SECONDARY = frozenset("comment comments disqus related sidebar footer complementary contentinfo".split())
+_WITH = frozenset("with has no without".split())
 _OUTSIDE = frozenset("header masthead banner".split())  # these only outside of articles
 _ROOTS = frozenset("html body main article".split())
 _CONTAINERS = frozenset("div section ul ol dl figure table details header center fieldset".split())
@@ -189,20 +192,27 @@ def _boilerplate(node: Node, inside: bool) -> bool:
     return bool(node.names & _WORDS) or (not inside and bool(node.names & _OUTSIDE))
 
 
+def _entered(node: Node, total: int) -> bool:
+    """Whether a wrapper that is boilerplate by its name holds the page's text all the same."""
+    if node.tag in _DROPPED or 2 * node.size < total:
+        return False
+    return node.size == total or not node.names & _SECONDARY or bool(node.names & _WITH)
+
+
 def _articles(root: Node) -> list[Node]:
-    """The outermost articles that no boilerplate holds; else any; else the main parts.
+    """The outermost articles that no boilerplate holds; else the main parts; else those in wrappers.
 
     A wrapper around everything may have a name such as ``with-sidebar``, hence the second look.
     """
-    for tag, anywhere in (("article", False), ("article", True), ("main", False), ("main", True)):
+    for wrapped, tag in ((False, "article"), (False, "main"), (True, "article"), (True, "main")):
         found, rest = [], [root]
         while rest:
             node = rest.pop()
             if node.tag == tag and not _boilerplate(node, True):
                 found.append(node)
-            elif node is root or (anywhere and node.tag not in _DROPPED) or not _boilerplate(node, False):
+            elif node is root or not _boilerplate(node, False) or (wrapped and _entered(node, root.size)):
                 rest += [c for c in reversed(node.children) if isinstance(c, Node)]
-            if tag == "main" and not anywhere and "main" in node.names and node.tag in _CONTAINERS and not found:
+            if tag == "main" and not wrapped and "main" in node.names and node.tag in _CONTAINERS and not found:
                 found.append(node)
         if found:
             return found

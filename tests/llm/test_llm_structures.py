@@ -111,6 +111,19 @@ def test_recurring_subtrees_of_a_host_are_deleted(spark):
     assert html_text.main_texts(pages.limit(0)).count() == 0
 
 
+def test_main_texts_are_not_lost_to_articles_in_boilerplate():
+    def text(page):
+        return html_text.text_of(html_text.parse(page))
+
+    teaser = '<div class="related"><article><p>a teaser that is longer than the text</p></article></div>'
+    comments = '<section class="comments"><article><p>a comment that is longer than the text</p></article></section>'
+    for other in (teaser, comments):
+        assert text(f"<main><p>text</p></main>{other}") == "text"
+        assert text(f"{other}<div><p>text</p></div>") == "text"
+    assert text("<div class='widget'><article><p>all of the text</p></article></div><p>x") == "all of the text"
+    assert text(teaser) == "a teaser that is longer than the text"
+
+
 def test_templates_within_articles_and_on_large_hosts(spark):
     def page(i, notice):
         notice = f'<div class="x7"><p>Subscribe to {notice}</p></div>'
