@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.llm import decontaminate, language, ngram_join, pack, pii
-from pressloom.llm.shared import documents, stored, without
+from pressloom.llm.shared import documents, fresh, stored, without
 
 #: A document goes if less than this share of its n-grams belongs to any one language.
 LEAST_SCORE = 0.4
@@ -25,21 +25,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, 0.8) the document with the smallest id stays.
 
-    Rows without an id stay; of rows with the same id one does.
+    A row is known by its id and text. Those without an id are last; of equal rows one stays.
     """
-    found = stored(ngram_join.clusters(docs))
-    kept = without(docs, found.filter(F.col("doc_id") != F.col("component_id")), "doc_id")
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    key = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = ngram_join.clusters(keyed.select(F.col(key).alias("doc_id"), "text"))
+    found = found.groupBy(F.col("doc_id").alias(key), "component_id").agg(F.count("*").alias("copies"))
+    found = stored(found.join(keyed.select(key, F.col("doc_id").alias("id")).distinct(), key))
+    first = F.min(F.struct(F.col("id").isNull(), "id", key))[key].alias("first")
+    found = stored(found.join(found.groupBy("component_id").agg(first), "component_id"))
+    kept = without(keyed, found.filter(F.col(key) != F.col("first")), key)
+    repeated = stored(found.filter((F.col("copies") > 1) & (F.col(key) == F.col("first"))).select(key))
     if repeated.isEmpty():
-        return kept
-    rest = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return kept.filter("doc_id is null").unionByName(rest)
+        return kept.select(*docs.columns)
+    rest = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return without(kept, repeated, key).unionByName(rest).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share a window of words with a benchmark item go."""
-    hit = decontaminate.overlaps(docs, documents(spark, sf_dir, "benchmark")).filter("n_hit > 0")
-    return without(docs, hit, "doc_id")
+    """Documents that share a window of words with a benchmark item go, whatever their ids."""
+    key = fresh(docs, "text_key")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    texts = keyed.select(F.col(key).alias("doc_id"), "text")
+    hit = decontaminate.overlaps(texts, documents(spark, sf_dir, "benchmark")).filter("n_hit > 0")
+    return without(keyed, hit.select(F.col("doc_id").alias(key)), key).select(*docs.columns)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

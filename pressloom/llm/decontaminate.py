@@ -7,7 +7,7 @@ k-grams, hence its smallest hash, so no shared span is missed. A benchmark item
 that length are fingerprints. Documents whose fingerprints meet a benchmark item get their hits
 extended: every shared word window is marked.
 
-Null or empty texts have no words and are never hit. Equal items are reported each. Repeated
+Null or empty texts have no words and are never hit. Items without an id hit, but are not counted or named. Equal items are reported each. Repeated
 document rows are judged each. Word and window hashes have 64 bits.
 """
 
@@ -127,7 +127,7 @@ class Index:
             np.add.at(depth, at[hit], 1)
             np.add.at(depth, at[hit] + m, -1)
             for a, b in np.unique(np.stack([low[hit], high[hit]], 1), axis=0):
-                items.update(self.items[i] for i in self.owners[m][a:b])
+                items.update(self.items[i] for i in self.owners[m][a:b] if self.items[i] is not None)
         return np.cumsum(depth[:-1]) > 0, items
 
 
@@ -160,7 +160,6 @@ def overlaps(
     """One row per document: words, words hit, items met, and the hit spans in words."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), utf8("text").alias("text"))
-    items = items.filter("item_id is not null")
     # A word takes two bytes at least, with the space after it.
     if (items.agg(F.sum(F.length("text"))).first()[0] or 0) <= 2 * broadcast_words:
         index = Index(window, k)
@@ -212,21 +211,22 @@ def _by_join(docs: DataFrame, items: DataFrame, window: int, k: int) -> DataFram
 
         return run
 
+    items = items.withColumn("item", F.xxhash64("item_id", "text"))
     numbered = docs.select("doc_id", utf8("text").alias("text"))
     numbered = numbered.withColumn("at", F.xxhash64("text"))
     texts = numbered.select("at", "text").dropDuplicates(["at"])
     doc_prints = map_arrow(texts, prints(False), "key long, m long, row long").distinct()
-    item_prints = map_arrow(items, prints(True), "key long, m long, row string")
-    item_prints = item_prints.withColumnRenamed("row", "item_id").distinct()
-    pairs = doc_prints.join(item_prints, ["key", "m"]).select(F.col("row").alias("at"), "item_id").distinct()
-    pairs = pairs.join(texts, "at").join(items.withColumnRenamed("text", "item"), "item_id")
+    item_prints = map_arrow(items.select("item", "text"), prints(True), "key long, m long, row long")
+    item_prints = item_prints.withColumnRenamed("row", "item").distinct()
+    pairs = doc_prints.join(item_prints, ["key", "m"]).select(F.col("row").alias("at"), "item").distinct()
+    pairs = pairs.join(texts, "at").join(items.withColumnRenamed("text", "item_text"), "item")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
                 index = Index(window, k)
-                index.add(one["item_id"].to_pylist(), pa.concat_arrays([one["item"]]))
+                index.add(one["item_id"].to_pylist(), pa.concat_arrays([one["item_text"]]))
                 index.build()
                 for words in slices(pa.concat_arrays([one["text"]]), ALNUM):
                     hit, _ = index.extend(words.hashes)
@@ -234,7 +234,7 @@ def _by_join(docs: DataFrame, items: DataFrame, window: int, k: int) -> DataFram
                     if spans:
                         yield {"at": one["at"].to_pylist(), "item_id": one["item_id"].to_pylist(), "spans": [spans]}
 
-    found = map_arrow(pairs.select("at", "item_id", "item", "text"), extend, "at long, item_id string, spans array<array<long>>")
+    found = map_arrow(pairs.select("at", "item_id", "item_text", "text"), extend, "at long, item_id string, spans array<array<long>>")
     found = found.groupBy("at").agg(
         F.sort_array(F.collect_set("item_id")).alias("items"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),

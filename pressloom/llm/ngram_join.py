@@ -86,7 +86,7 @@ def differing(a: bytes, b: bytes) -> int:
 
 
 def _profiles(docs: DataFrame, k: int, bits: int) -> DataFrame:
-    """doc_id, n and fp per row; one more row per task with its sketch."""
+    """doc_id, n, fp and a hash of the text per row; one more row per task with its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         sketch, waiting, held = np.zeros(1 << bits, np.uint32), [], 0
@@ -103,13 +103,14 @@ def _profiles(docs: DataFrame, k: int, bits: int) -> DataFrame:
                     "n": [len(s) for s in sets],
                     "fp": [fingerprint(s) for s in sets],
                     "parity": [parity(s) for s in sets],
+                    "at": batch.column(2).slice(words.row, len(sets)),
                     "sketch": [None] * len(sets),
                 }
         _count(sketch, waiting)
-        yield {"doc_id": [None], "n": [int(sketch.sum(dtype=np.int64))], "fp": [0], "parity": [None], "sketch": [zlib.compress(sketch.tobytes(), 1)]}
+        yield {"doc_id": [None], "n": [int(sketch.sum(dtype=np.int64))], "fp": [0], "parity": [None], "at": [None], "sketch": [zlib.compress(sketch.tobytes(), 1)]}
 
-    source = docs.select("doc_id", utf8("text").alias("text"))
-    return stored(map_arrow(source, run, "doc_id long, n long, fp long, parity binary, sketch binary"))
+    source = docs.select("doc_id", utf8("text").alias("text"), F.xxhash64("text").alias("at"))
+    return stored(map_arrow(source, run, "doc_id long, n long, fp long, parity binary, at long, sketch binary"))
 
 
 def _count(sketch: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -263,9 +264,13 @@ def _demanded(a: str, b: str, percent: int) -> Column:
 
 def _fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """fp and shingles of the wanted classes, read from one document of each."""
-    ids = stored(classes.join(wanted, "fp").select("rep", "fp"))
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    texts = docs.select("doc_id", utf8("text").alias("text")).join(ids, F.col("doc_id") == F.col("rep")).select("text", "fp")
+    ids = stored(classes.join(wanted, "fp").select("rep", "at", "fp"))
+    small = ids.count() <= BROADCAST_ROWS
+    named, nameless = (F.broadcast(i) if small else i for i in (ids.filter("rep is not null"), ids.filter("rep is null")))
+    texts = docs.select("doc_id", utf8("text").alias("text")).join(named, F.col("doc_id") == F.col("rep")).select("text", "fp")
+    if not ids.filter("rep is null").isEmpty():  # no row of these classes has an id
+        others = docs.filter("doc_id is null").select(utf8("text").alias("text"), F.xxhash64("text").alias("at"))
+        texts = texts.unionAll(others.join(nameless, "at").dropDuplicates(["at"]).select("text", "fp"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -373,8 +378,9 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def clusters(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, list_size: int = LIST, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) per row."""
     profiles = _profiles(docs, k, sketch_bits)
-    own = profiles.filter("sketch is null").select("doc_id", "n", "fp", "parity")
-    classes = stored(own.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("parity").alias("parity")))
+    own = profiles.filter("sketch is null").select("doc_id", "n", "fp", "parity", "at")
+    one = [F.min("doc_id").alias("rep"), F.min("at").alias("at"), F.first("parity").alias("parity")]
+    classes = stored(own.filter("n > 0").groupBy("fp").agg(*one))
     shared = _shared(_postings(docs, _sketch(profiles, sketch_bits), k, percent))
 
     stars = shared.filter("fp != lead").filter(_sizes_fit("meta", "lead_meta", percent))

@@ -9,7 +9,7 @@ import corpus_pipeline
 from hypothesis import given
 from hypothesis import strategies as st
 
-from pressloom.llm import chat, html_text, queries
+from pressloom.llm import chat, decontaminate, html_text, ngram_join, queries
 from pressloom.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -170,6 +170,24 @@ def test_pipeline_stages(spark, small, odd):
     assert docs.count() == 0
 
 
+def test_rows_without_ids_or_with_the_same_id(spark, small):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words[:-1], f"end{i}"]) for i in range(3)]
+    item = next(r.text for r in small("benchmark").collect() if len(r.text.split()) > 15)
+    rows = [(None, near[0]), (None, near[1]), (None, near[1]), (7, "one clean text of its own"), (7, "another text under this id"), (8, near[2]), (9, f"x {item}"), (9, "clean and of the same id"), (None, f"y z {item}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nameless = ngram_join.clusters(docs.filter("doc_id is null").unionByName(spark.createDataFrame([(5, near[2] + " more")], docs.schema)))
+    assert sorted(r.component_id for r in nameless.collect() if r.component_id is not None) == [5, 5, 5, 5]
+    unique = sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs.filter("text not like '%' || 'z ' || '%'"), SF).collect()))
+    assert unique == sorted(r for r in rows if r[0] is not None)
+    clean = corpus_pipeline.drop_contaminated(spark, docs, SF).collect()
+    assert sorted(r.text for r in clean) == sorted(t for _, t in rows if item not in t)
+    bench = spark.createDataFrame([(None, item), (1, "one clean text of its own")], "item_id long, text string")
+    for most in (decontaminate.BROADCAST_WORDS, 0):
+        hit = decontaminate.overlaps(docs, bench, broadcast_words=most).filter("n_hit > 0").collect()
+        assert sorted((r.doc_id or 0, r.n_items) for r in hit) == [(0, 0), (7, 1), (9, 0)]
+
+
 def test_pipeline_equals_plain_decisions(spark, small):
     """Near duplicates and benchmark passages by brute force on what the stage before kept."""
     stages = dict(corpus_pipeline.STAGES)
