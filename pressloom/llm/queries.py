@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm import chat, decontaminate, html_text, language, ngram_join, pack, pii, quality_rules, site_quality, token_count
+from pressloom.llm import centroids, chat, decontaminate, html_text, language, ngram_join, pack, pii, quality_rules, simhash, site_quality, token_count, vector_codes
+from pressloom.llm import queries_sql as sql
 from pressloom.llm.shared import documents
 
 
@@ -54,6 +55,18 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.main_texts(documents(spark, sf, "pages"))
 
 
+def op11_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.clustered(documents(spark, sf, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.clusters(documents(spark, sf))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.coded(documents(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_rules": op2_quality_rules,
@@ -65,5 +78,8 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_token_count": op9_token_count,
     "op10_html_text": op10_html_text,
+    "op11_centroids": op11_centroids,
+    "op12_simhash": op12_simhash,
+    "op13_vector_codes": op13_vector_codes,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op11_centroids": sql.centroids(), "op13_vector_codes": sql.vector_codes()}
