@@ -1,12 +1,15 @@
 """Token counts by a two-tier lookup on the map side.
 
 The tokenizer splits no token across a space that follows another character, so a text is a row of
-pre-tokens, each a word with the spaces before it, and its tokens are the sum of theirs. The first
+pre-tokens, each a word with the spaces before it, and its tokens are the sum of theirs. Spaces at the
+end are a pre-token of their own, and U+2581 is a space to the tokenizer. The first
 tier is a table of frequent pre-tokens and their lengths, sent to all workers; the second a cache in
 each worker, filled by the tokenizer. Pre-tokens are never shuffled: tasks report only their own
 most frequent ones, and the table keeps ``TABLE_WORDS`` of them.
 
-The table changes the speed and no count. Null or empty texts have no tokens.
+The table changes the speed and no count. Null or empty texts have no tokens. A text of any length is
+counted whole, and split once. Repeated rows and ids are counted each; an empty table gives no rows. Only
+id and text are read of a table, whatever other columns it has.
 """
 
 from __future__ import annotations
@@ -27,8 +30,11 @@ LONGEST = 64
 
 
 def pretokens(text: str) -> list[str]:
-    """Pieces of ``text`` with their leading spaces but the first, as the tokenizer sees words."""
-    parts = text.split(" ")
+    """Pieces of ``text`` with their leading spaces but the first, as the tokenizer sees words.
+
+    An empty last piece stands for a single space at the end of the text.
+    """
+    parts = text.replace("\u2581", " ").split(" ")
     if "" not in parts:
         return parts
     out, gap = [], ""
@@ -68,9 +74,11 @@ class Lengths:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         self.table, self.cache, self.room = table, {}, cache_words
+        self.last = len(self.model.encode("a ")) - len(self.model.encode("a"))
 
     def lengths(self, words: list[str]) -> list[int]:
-        return [len(ids) for ids in self.model.encode(words, num_threads=1)]
+        found = self.model.encode(words, num_threads=1)
+        return [len(ids) if word else self.last for word, ids in zip(words, found, strict=True)]
 
     def count(self, text: str) -> int:
         if not text:

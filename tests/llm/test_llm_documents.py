@@ -280,6 +280,19 @@ def test_token_counts_equal_the_library(spark, small, odd):
     assert token_count.token_counts(odd.limit(0), PIECES).count() == 0
 
 
+def test_token_counts_of_random_texts():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    counter = token_count.Lengths(PIECES, {})
+    alphabet = ["a", "b", "the", *[" "] * 4, "  ", *"\t\n\r\0\x01\xa0\xad\u2003\u2028\u200b\ufeff\u3000\u2581\u0301", "é", "漢", "😀", "<s>"]
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(9))) for _ in range(5000)]
+    texts += [t + end for t in ("", "a", "a b", "\n", "a\t") for end in (" ", "  ", "   ", " \n ")]
+    for text in texts:
+        assert counter.count(text) == len(model.encode(text)), text
+
+
 def test_site_quality_on_held_out_labels(spark, small, odd):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
