@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import RDD
+from pyspark import RDD, Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +45,14 @@ SKETCH_BITS = 21
 #: Prefix extensions to choose from, and the cost of verifying a pair in posted shingles.
 EXTENSIONS, VERIFY_COST = (1, 2, 3, 4, 6, 8), 8
 #: A list of up to so many classes is joined with itself; longer ones are compared in blocks.
-LIST, BLOCK_BYTES, LEAST_BYTES = 64, 8 << 20, 8192
+LIST, BLOCK_BYTES, LEAST_BYTES = 64, 4 << 20, 4096
 
 #: Up to so many documents to be fetched are picked by a broadcast of their ids, more by a join.
 BROADCAST_ROWS = 1_000_000
 
+#: Shingles counted at once, and fingerprints a task remembers in order not to post copies again.
+_HELD, _KNOWN = 1 << 18, 1 << 17
+
 _SIZE = (1 << 28) - 1
 
 
@@ -95,7 +98,7 @@ def _profiles(docs: DataFrame, k: int, bits: int) -> DataFrame:
                 sets = shingle_sets(words, k)
                 waiting += sets
                 held += sum(map(len, sets))
-                if held > 1 << bits:
+                if held > _HELD:
                     _count(sketch, waiting)
                     waiting, held = [], 0
                 yield {
@@ -116,7 +119,7 @@ def _profiles(docs: DataFrame, k: int, bits: int) -> DataFrame:
 def _count(sketch: np.ndarray, sets: list[np.ndarray]) -> None:
     if sets:
         at = np.concatenate(sets) & np.uint64(len(sketch) - 1)
-        sketch += np.bincount(at.astype(np.int64), minlength=len(sketch)).astype(np.uint32)
+        np.add.at(sketch, at.astype(np.int64), np.uint32(1))
 
 
 def _counters(packed: bytes) -> np.ndarray:
@@ -160,9 +163,8 @@ def prefix(shingles: np.ndarray, sketch: np.ndarray, load: float, percent: int)
     return shingles[order[:size]], int(127 * np.count_nonzero(level == 0) // n)
 
 
-def _postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
+def _postings(docs: DataFrame, sent: Broadcast, k: int, percent: int) -> DataFrame:
     """shingle, fp, meta for the prefix of every class; meta holds rare share, set size, prefix size."""
-    sent = send(docs.sparkSession, sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         counts, known = received(sent), set()
@@ -176,7 +178,7 @@ def _postings(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Data
                     key = fingerprint(own)
                     if key in known:  # a copy of one this task has posted
                         continue
-                    if len(known) < 1 << 20:
+                    if len(known) < _KNOWN:
                         known.add(key)
                     posted, rare = prefix(own, counts, load, percent)
                     token.append(posted.view(np.int64))
@@ -289,9 +291,9 @@ def _possible(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            kept = [(a, b) for a, b, most, x, y in rows if differing(x, y) <= most]
-            yield {"a": [a for a, _ in kept], "b": [b for _, b in kept]}
+            most, x, y = batch["most"].to_pylist(), batch["x"], batch["y"]
+            kept = pa.array([differing(x[i].as_buffer(), y[i].as_buffer()) <= m for i, m in enumerate(most)], pa.bool_())
+            yield {"a": batch["a"].filter(kept), "b": batch["b"].filter(kept)}
 
     joined = pairs.join(bitmaps.select(F.col("fp").alias("a"), F.col("parity").alias("x")), "a").join(
         bitmaps.select(F.col("fp").alias("b"), F.col("parity").alias("y")), "b"
@@ -304,14 +306,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            links = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            linked = []
+            for i in range(batch.num_rows):  # sets are read where they are
+                x, y = (np.frombuffer(batch[c][i].as_buffer(), np.uint64) for c in ("x", "y"))
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = int(np.count_nonzero(y[at] == x))
-                if (100 + percent) * both >= percent * (len(x) + len(y)):
-                    links.append((a, b))
-            yield {"a": [a for a, _ in links], "b": [b for _, b in links]}
+                linked.append((100 + percent) * both >= percent * (len(x) + len(y)))
+            kept = pa.array(linked, pa.bool_())
+            yield {"a": batch["a"].filter(kept), "b": batch["b"].filter(kept)}
 
     joined = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b"
@@ -324,21 +326,25 @@ def similar_forest(fps: np.ndarray, groups: np.ndarray, sets: list[np.ndarray],
     n = len(sets)
     sizes = np.asarray([len(s) for s in sets], np.int64)
     values = np.concatenate(sets)
-    owner = np.repeat(np.arange(n), sizes)
-    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
-    common = np.cumsum(times > 1) - 1
-    use = times[column] > 1
-    column, owner = common[column[use]], owner[use]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], np.repeat(np.arange(n, dtype=np.int32), sizes)[order]
+    del order
+    same = values[1:] == values[:-1]
+    common = np.append(same, False) | np.append(False, same)  # shingles of one set only are left out
+    column = np.cumsum(np.append(True, ~same)[common]) - 1
+    owner = owner[common]
+    del values, same, common
     shared = np.zeros((n, n), np.float32)
     for a in range(0, int(column[-1]) + 1 if len(column) else 0, 512):
         low, high = np.searchsorted(column, [a, a + 512])
         block = np.zeros((n, 512), np.float32)
         block[owner[low:high], column[low:high] - a] = 1
         shared += block @ block.T
-    linked = (100 + percent) * shared.astype(np.int64) >= percent * (sizes[:, None] + sizes[None, :])
-    linked &= groups[:, None] != groups[None, :]
+    linked = np.empty((n, n), bool)
+    for i in range(n):
+        linked[i] = (100 + percent) * shared[i].astype(np.int64) >= percent * (sizes[i] + sizes)
+        linked[i] &= groups[i] != groups
+    del shared
     free, edges = np.ones(n, bool), []
     for root in range(n):
         if not free[root]:
@@ -381,7 +387,9 @@ def clusters(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, list_size:
     own = profiles.filter("sketch is null").select("doc_id", "n", "fp", "parity", "at")
     one = [F.min("doc_id").alias("rep"), F.min("at").alias("at"), F.first("parity").alias("parity")]
     classes = stored(own.filter("n > 0").groupBy("fp").agg(*one))
-    shared = _shared(_postings(docs, _sketch(profiles, sketch_bits), k, percent))
+    sketch = send(docs.sparkSession, _sketch(profiles, sketch_bits))
+    shared = _shared(_postings(docs, sketch, k, percent))
+    sketch.destroy()
 
     stars = shared.filter("fp != lead").filter(_sizes_fit("meta", "lead_meta", percent))
     stars = stars.groupBy("fp", "lead").agg(F.count("*").alias("times"), F.first("meta").alias("meta"), F.first("lead_meta").alias("lead_meta"))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _RNG = np.random.default_rng(20260301)
 _CODES = _RNG.integers(1, 2**64, 256, dtype=np.uint64)
