@@ -1,20 +1,25 @@
 """Personal data, and terms that reveal it, by information-theoretic sanitisation.
 
 Patterns find the protected entities: e-mail addresses, IP addresses, payment cards and phone
-numbers. A term is a word of letters outside of e-mail addresses. Over the whole corpus, a term
-discloses an entity as far as its occurrence in a text tells of the entity's: the pointwise mutual
-information of the two, as a share of the entity's own information (1: the term occurs with that entity
-only). Few texts prove little, so the share of the term's texts that have the entity is bounded from
-below, as if ``DOUBT`` more texts had the term without it. Terms whose bounded disclosure is
-``GENERALISE`` or more are generalised; those whose disclosure is ``REMOVE`` or more besides are
-removed. All of it is DataFrame functions.
+numbers. What they share is protected too: the owner and the domain of an address, the network of an IP
+address, the first digits of a phone number. A term is a word of letters outside of e-mail addresses.
+
+Over the whole corpus, co-occurrence estimates what a term tells of an entity: its disclosure is the
+share of the term's texts that have the entity, bounded from below after Wilson by the number of
+different texts that prove it (two are the least). Minus its logarithm is the surprise that is left once
+the term is known. A term discloses only what it makes likelier by ``BITS`` bits at least (the pointwise
+mutual information). Terms whose disclosure is ``GENERALISE`` or more are generalised to their class
+(name, acronym, word); from ``REMOVE`` on they are removed. The demands are the same in a corpus of any
+size: more texts without term and entity change no verdict, once the entity is rare enough. All of it is
+DataFrame functions.
 
 Terms and entities meet in whole texts. Terms that lie in the same texts are one class there, and so
-are entities; pairs of classes whose counts cannot reach the threshold are never made. Copies count
-towards frequencies, but not towards the number of different texts that prove something. Null texts
-are empty and have no spans. In scripts without spaces a run of letters is one term. Where patterns of
-different kinds overlap each is reported; sanitised texts replace the one that starts first, or the
-longest. Repeated rows are judged each.
+are entities; those in too few different texts to prove anything, and pairs whose counts cannot reach the
+threshold, are never made. Copies count towards frequencies, but not towards the different texts. Null
+texts are empty and have no spans. A text of any length is searched whole. In scripts without spaces a run
+of letters is one term. Where spans overlap each is reported, and sanitised texts replace their union by
+the kind of the first, or the longest of those that start together. Repeated rows are judged each; an
+empty table gives no rows. Other columns of a table stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,10 +38,10 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-GENERALISE, REMOVE = 0.9, 0.98
-#: The square of the 95 % quantile: n texts of n bound their share by n / (n + DOUBT), after Wilson.
-DOUBT = 2.71
-#: Up to so many rows of terms or texts are broadcast; more are joined by a shuffle.
+GENERALISE, REMOVE, BITS = 0.5, 0.8, 3
+#: The square of the 90 % quantile: n texts of n bound their share by n / (n + DOUBT), after Wilson.
+DOUBT = 1.64
+#: Up to so many rows, spans or terms in all are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 TERM = r"(?<![\p{L}\p{N}])\p{L}{3,}+(?![\p{L}\p{N}])"
 
@@ -121,8 +126,10 @@ def _key(text: Column) -> Column:
     return F.md5(text)
 
 
-def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _small(df: DataFrame, weight: Column | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` to be broadcast if it holds up to ``most`` rows, or so much of what ``weight`` counts in a row."""
+    total = df.agg(F.sum(F.lit(1) if weight is None else weight + 1)).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
 
 
 def based(docs: DataFrame) -> DataFrame:
@@ -141,44 +148,57 @@ def _texts() -> list[Column]:
     return [F.count("*").alias("texts"), F.sum(F.shiftright(key, 32)).alias("sum"), F.bit_xor(key).alias("xor")]
 
 
-def revealing(docs: DataFrame, base: DataFrame, doubt: float = DOUBT, least: float = GENERALISE) -> DataFrame:
-    """term, disclosure for the terms whose bounded disclosure of some entity is ``least`` or more."""
-    entities = F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))))
-    found_ = base.filter(F.size("spans") > 0).select("key", entities.alias("entities"), "terms")
+def _entities(spans: Column) -> Column:
+    """Hashes of what is protected in a text: each entity, and what it has in common with others."""
+
+    def of(s: Column) -> Column:
+        value, kind = F.lower(s["value"]), s["kind"]
+        digits = _digits(value)
+        own = F.xxhash64(F.lit("value"), kind, value)
+        mail = F.array(own, F.xxhash64(F.lit("owner"), F.substring_index(value, "@", 1)), F.xxhash64(F.lit("domain"), F.substring_index(value, "@", -1)))
+        network = F.array(own, F.xxhash64(F.lit("network"), F.substring_index(value, ".", 3)))
+        office = F.array(own, F.xxhash64(F.lit("prefix"), F.substring(digits, 1, 6)))
+        return F.when(kind == "email", mail).when(kind == "ip", network).when(kind == "phone", office).otherwise(F.array(own))
+
+    return F.array_distinct(F.flatten(F.transform(spans, of)))
+
+
+def revealing(docs: DataFrame, base: DataFrame, doubt: float = DOUBT, least: float = GENERALISE, bits: float = BITS) -> DataFrame:
+    """term, disclosure for the terms whose disclosure of some entity is ``least`` or more."""
+    found_ = base.filter(F.size("spans") > 0).select("key", _entities(F.col("spans")).alias("entities"), "terms")
     one = [F.first(c).alias(c) for c in ("entities", "terms")]
     found_ = stored(found_.groupBy("key").agg(F.count("*").alias("copies"), *one))
     rows = float(base.count())
+    proves = F.col("texts") / (F.col("texts") + doubt) * (1 + 1e-9) >= least
 
     own = found_.select("key", "copies", F.explode("entities").alias("entity"))
-    of_entity = stored(own.groupBy("entity").agg(F.sum("copies").alias("with_entity"), *_texts()))
-    most = F.col("with_entity") * F.pow(F.lit(rows) / F.col("with_entity"), F.lit(1 - least))
-    reach, rarest = of_entity.agg(F.max(most), F.min("with_entity")).first()
+    of_entity = own.groupBy("entity").agg(F.sum("copies").alias("with_entity"), *_texts())
+    of_entity = stored(of_entity.filter(proves).filter(F.log2(rows / F.col("with_entity")) >= bits))
+    reach = of_entity.agg(F.max("with_entity")).first()[0]
     if reach is None:
-        return found_.select(F.lit("").alias("term"), F.lit(1.0).alias("disclosure"))
+        return found_.select(F.lit("").alias("term"), F.lit(1.0).alias("disclosure")).limit(0)
     of_entity = of_entity.groupBy("with_entity", *_TEXTS).agg(F.min("entity").alias("entity"))
     of_entity = stored(of_entity.select("entity", "with_entity"))
     own = own.select("key", "entity").join(_small(of_entity), "entity")
 
-    # Terms in more texts than ``reach`` tell too little of any entity; those in too few prove too little.
+    # Of a term in more texts than ``reach / least``, too few can have any one entity.
     beside = found_.select("key", "copies", F.explode("terms").alias("term"))
-    of_term = beside.groupBy("term").agg(*_texts())
-    of_term = of_term.filter(F.col("texts") / (F.col("texts") + doubt) * (1 + 1e-9) >= (rarest / rows) ** (1 - least))
+    of_term = beside.groupBy("term").agg(*_texts()).filter(proves)
     counts = docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term"))
-    counts = counts.groupBy("term").agg(F.count("*").alias("with_term")).filter(F.col("with_term") <= reach * (1 + 1e-9))
+    counts = counts.groupBy("term").agg(F.count("*").alias("with_term")).filter(F.col("with_term") * least <= reach * (1 + 1e-9))
     of_term = stored(of_term.join(counts, "term"))
     classes = stored(of_term.groupBy("with_term", *_TEXTS).agg(F.min("term").alias("class")))
     met = beside.join(_small(classes.select(F.col("class").alias("term"), "with_term")), "term")
 
-    possible = most * (1 + 1e-9) >= F.col("with_term")
+    possible = F.col("with_term") * least <= F.col("with_entity") * (1 + 1e-9)
     both = met.join(own, "key").filter(possible).groupBy("term", "with_term", "entity", "with_entity")
     both = both.agg(F.sum("copies").alias("both"), F.count("*").alias("texts"))
-    information = F.log(F.lit(rows) / F.col("with_entity"))
-    told = (F.log(F.col("both") / F.col("with_term")) + information) / information
-    bounded = told + F.log(F.col("texts") / (F.col("texts") + doubt)) / information
-    both = both.filter(information > 0).select(F.col("term").alias("class"), told.alias("told"), bounded.alias("bounded"))
-    told_of = both.filter(F.col("bounded") >= least).groupBy("class").agg(F.max("told").alias("disclosure"))
-    told_of = told_of.join(classes, "class")
-    return of_term.join(told_of.drop("class"), ["with_term", *_TEXTS]).select("term", "disclosure")
+    share = F.col("both") / F.col("with_term")
+    disclosure = share * F.col("texts") / (F.col("texts") + doubt)
+    gained = F.log2(share * rows / F.col("with_entity"))
+    told = both.filter((gained >= bits) & (disclosure * (1 + 1e-9) >= least))
+    told = told.groupBy(F.col("term").alias("class")).agg(F.max(disclosure).alias("disclosure")).join(classes, "class")
+    return of_term.join(told.drop("class"), ["with_term", *_TEXTS]).select("term", "disclosure")
 
 
 def _term_spans(docs: DataFrame, terms: DataFrame, remove: float) -> DataFrame:
@@ -191,7 +211,9 @@ def _term_spans(docs: DataFrame, terms: DataFrame, remove: float) -> DataFrame:
         F.collect_list(F.when(F.col("disclosure") >= remove, F.col("term"))).alias("removed"),
     )
     by_text = stored(by_text)
-    texts = docs.select(_key(text).alias("key"), text.alias("text")).join(_small(by_text), "key").dropDuplicates(["key"])
+    # Terms of a text are at most its length; a long one weighs more.
+    small = _small(by_text, F.floor(F.length("any") / 16))
+    texts = docs.select(_key(text).alias("key"), text.alias("text")).join(small, "key").dropDuplicates(["key"])
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.col("any"), F.lit(r")(?![\p{L}\p{N}])"))
     spans = matches(F.col("text"), pattern, "term")
 
@@ -208,7 +230,8 @@ def spans(docs: DataFrame, doubt: float = DOUBT, generalise: float = GENERALISE,
     terms = stored(revealing(docs, base, doubt, generalise))
     if terms.isEmpty():
         return base.select("doc_id", "key", "spans")
-    more = _small(_term_spans(docs, terms, remove))
+    more = _term_spans(docs, terms, remove)
+    more = _small(more, F.size("more"))
     joined = base.join(more, "key", "left")
     free = F.filter(
         F.coalesce("more", F.array().cast(_SPAN)),
@@ -233,15 +256,21 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def sanitised(text: Column, found_spans: Column) -> Column:
-    """``text`` with spans replaced by their kinds; removed terms leave nothing."""
-    ordered = F.array_sort(F.transform(found_spans, lambda s: F.struct(s["start"].alias("a"), (-s["end"]).alias("b"), s["kind"].alias("kind"))))
+    """``text`` with spans replaced by their kinds, terms by their classes; removed ones leave nothing.
+
+    Of spans that overlap the union is replaced.
+    """
+    ordered = F.array_sort(F.transform(found_spans, lambda s: F.struct(s["start"].alias("a"), (-s["end"]).alias("b"), s["kind"].alias("kind"), s["value"].alias("value"))))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def put(done: Column, s: Column) -> Column:
         before = F.substring(text, done["at"] + 1, s["a"] - done["at"])
-        mark = F.when(s["kind"] == "removed", "").otherwise(F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+        term = F.when(s["value"].rlike(r"^\p{Lu}+$"), "<ACRONYM>").when(s["value"].rlike(r"^\p{Lu}"), "<NAME>").otherwise("<WORD>")
+        kind = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+        mark = F.when(s["kind"] == "removed", "").when(s["kind"] == "term", term).otherwise(kind)
         moved = F.struct((-s["b"]).alias("at"), F.concat(done["parts"], F.array(before, mark)).alias("parts"))
-        return F.when(s["a"] >= done["at"], moved).otherwise(done)
+        longer = F.struct(F.greatest(done["at"], -s["b"]).alias("at"), done["parts"].alias("parts"))
+        return F.when(s["a"] >= done["at"], moved).otherwise(longer)
 
     rest = let(
         F.aggregate(ordered, start, put),
@@ -254,6 +283,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with sanitised texts; other columns stay, null texts too."""
     key, found_ = fresh(docs, "text_key"), fresh(docs, "found_spans")
     own = spans(docs).filter(F.size("spans") > 0).select(F.col("key").alias(key), F.col("spans").alias(found_)).dropDuplicates([key])
-    joined = docs.withColumn(key, _key(F.col("text"))).join(_small(stored(own)), key, "left")
+    own = _small(stored(own), F.size(found_))
+    joined = docs.withColumn(key, _key(F.col("text"))).join(own, key, "left")
     text = F.when(F.col(found_).isNull(), F.col("text")).otherwise(sanitised(F.col("text"), F.col(found_)))
     return joined.withColumn("text", text).select(*docs.columns)
