@@ -2,15 +2,25 @@
 
 Each source is a queue of tokens. A window takes from every queue its quantum, the target share of
 the window's tokens; what whole tokens cannot express is carried as the queue's deficit to the next
-window, across partitions too. All of it has a closed form: after k windows a queue has given
-``floor(k * quantum)`` tokens, so a document's place follows from the number of tokens before it in
-its queue, and nothing is processed in turn. An empty queue leaves its share to the others.
+window, across partitions too. All of it has a closed form: a queue gives tokens at the rate of its share,
+in fractions of 2^-32, and after k windows it has given the whole tokens of what has flowed. So a document's
+place follows from the number of tokens before it in its queue, and nothing is processed in turn. Where a
+queue runs out, within a window too, the others share its rate at once in their proportions and keep their
+deficits, so every window but the last is full up to less than one token a queue.
+
+With targets, each source that is named has a queue, and all others share one, which is taken from when
+those named have run out. Without, each source's share is its part of the corpus; sources that would
+give less than one token a window share one queue with the sum of their shares. Both hold for any number
+of sources.
 
 The windows' tokens, one after another, are cut into full sequences; the rest at the very end goes
 into sequences of powers of two. Nothing is padded and each token lies in exactly one piece.
 
-Texts are tokenized once, into a table in the shared folder. Null or empty texts are one end token.
-Repeated rows are packed each; a null source is a queue of its own.
+Texts are tokenized once, into a table in the shared folder. Null or empty texts are one end token. A text
+of any length is tokenized whole and cut where windows and sequences end. Repeated rows and ids are packed
+each; a null source is a source of its own. Within a queue documents follow each other in the order of the
+partitions, so nothing is tied. An empty table gives no pieces. Only id, text and source are read of a
+table, whatever other columns it has.
 """
 
 from __future__ import annotations
@@ -28,8 +38,10 @@ from pyspark.sql import functions as F
 from pressloom.llm.shared import map_arrow, received, send, stored
 
 SEQUENCE, SEQUENCES_PER_WINDOW, END = 1024, 64, 0
-#: With more sources than this, sources share queues by their hash.
-QUEUES = 4096
+#: The queue that sources without a queue of their own share; names of others begin with "=" or are empty.
+SHARED = "~"
+#: Tokens of the shared queue's sources are summed up in so many parts at once.
+_BUCKETS = 1024
 #: Tables of token counts per task and queue up to this many rows are broadcast, larger ones joined.
 BROADCAST_ROWS = 1_000_000
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
@@ -86,11 +98,13 @@ class Tokens:
         return special.join(self._plain(t) if t else b"" for t in text.split(SPECIAL))
 
 
-def tokenized(docs: DataFrame, ranks_path: str, queues: int = QUEUES) -> DataFrame:
-    """A stored table: ids of each document and its place among its task's tokens of its queue."""
+def _tag(source: object) -> str:
+    return "" if source is None else f"={source}"
+
+
+def tokenized(docs: DataFrame, ranks_path: str) -> DataFrame:
+    """A stored table: ids of each document and its place among its task's tokens of its source."""
     source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    if docs.select(source.alias("s")).distinct().limit(queues + 1).count() > queues:
-        source = F.pmod(F.xxhash64(source), F.lit(queues)).cast("string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         tokens, part = Tokens(ranks_path), TaskContext.get().partitionId()
@@ -100,66 +114,71 @@ def tokenized(docs: DataFrame, ranks_path: str, queues: int = QUEUES) -> DataFra
                 some = batch.slice(at, 500)
                 ids = [tokens.encode(t) + end for t in some.column(2).to_pylist()]
                 starts = []
-                for queue, own in zip(some.column(1).to_pylist(), ids, strict=True):
-                    starts.append(given.get(queue, 0))
-                    given[queue] = starts[-1] + len(own) // 2
+                for name, own in zip(some.column(1).to_pylist(), ids, strict=True):
+                    starts.append(given.get(name, 0))
+                    given[name] = starts[-1] + len(own) // 2
                 yield {
                     "part": np.full(len(ids), part),
                     "doc_id": some.column(0),
-                    "queue": some.column(1),
+                    "source": some.column(1),
                     "before": starts,
                     "n": [len(own) // 2 for own in ids],
                     "ids": ids,
                 }
 
-    rows = docs.select("doc_id", source.alias("queue"), F.coalesce("text", F.lit("")).alias("text"))
-    return stored(map_arrow(rows, run, "part long, doc_id long, queue string, before long, n long, ids binary"))
+    rows = docs.select("doc_id", source.alias("source"), F.coalesce("text", F.lit("")).alias("text"))
+    return stored(map_arrow(rows, run, "part long, doc_id long, source string, before long, n long, ids binary"))
 
 
 @dataclass
 class Plan:
-    """What each queue has given after k windows: per phase a start, and a quantum in 2^-32 tokens."""
+    """What each queue has given after k windows: a phase ends where a queue runs out."""
 
     totals: np.ndarray  # [queue]
-    begins: np.ndarray  # [phase]: first window
+    begins: np.ndarray  # [phase]: tokens of the stream before
     given: np.ndarray  # [phase, queue]: tokens before
-    quantum: np.ndarray  # [phase, queue]
+    rest: np.ndarray  # [phase, queue]: what has flowed besides, in 2^-32 tokens
+    rate: np.ndarray  # [phase, queue]: in 2^-32 tokens for a token of the stream
+    size: int  # tokens of a window
     windows: int
 
     @staticmethod
     def make(totals: list[int], shares: list[float] | None, window: int) -> Plan:
         """Without shares each queue's is its part of all tokens, so that all end together."""
-        total = np.asarray(totals, np.int64)
-        share = total / max(1, total.sum()) if shares is None else np.asarray(shares, float)
-        begins, given, quanta = [], [], []
-        k, done = 0, np.zeros(len(total), np.int64)
-        while (done < total).any():
-            live = done < total
+        share = np.asarray(totals if shares is None else shares, float)
+        begins, given, rest, rates = [], [], [], []
+        time, done, flowed = 0, [0] * len(totals), [0] * len(totals)
+        while any(d < t for d, t in zip(done, totals, strict=True)):
+            live = np.asarray([d < t for d, t in zip(done, totals, strict=True)])
             part = np.where(live, share, 0.0)
             part = np.where(live, 1.0, 0.0) if part.sum() == 0 else part
-            quantum = np.floor(part / part.sum() * window * 2**32).astype(np.int64)
-            quantum[live & (quantum == 0) & (part > 0)] = 1
-            begins.append(k)
-            given.append(done)
-            quanta.append(quantum)
-            # Whole windows until the first queue is empty; the next phase shares out its quantum.
-            left, flow = (total - done)[live & (quantum > 0)], quantum[live & (quantum > 0)]
-            steps = [-(-int(a) * 2**32 // int(b)) for a, b in zip(left, flow, strict=True)]
-            step = max(1, min(steps) if shares is not None else max(1, -(-int((total - done).sum()) // window)))
-            gave = np.asarray([int(step) * int(q) >> 32 for q in quantum], np.int64)
-            done = np.minimum(done + gave, total)
-            k += step
-            if shares is None:
-                break
-        shape = (0, len(total))
-        return Plan(total, np.asarray(begins, np.int64), np.reshape(given, (-1, len(total))).astype(np.int64) if given else np.zeros(shape, np.int64), np.reshape(quanta, (-1, len(total))) if quanta else np.zeros(shape, np.int64), k)
+            rate = np.floor(part / part.sum() * 2**32).astype(np.int64)
+            rate[(rate == 0) & (part > 0)] = 1
+            begins.append(time)
+            given.append(list(done))
+            rest.append(list(flowed))
+            rates.append(rate)
+            flows = [(i, int(r)) for i, r in enumerate(rate) if r]
+            steps = [-((flowed[i] - (totals[i] - done[i] << 32)) // r) for i, r in flows]
+            step = max(steps) if shares is None else min(steps)
+            for i, r in flows:
+                whole = flowed[i] + step * r
+                done[i], flowed[i] = done[i] + (whole >> 32), whole & 0xFFFFFFFF
+                if done[i] >= totals[i]:
+                    done[i], flowed[i] = totals[i], 0
+            time += step
+        table = [np.asarray(x, np.int64).reshape(len(begins), len(totals)) for x in (given, rest, rates)]
+        return Plan(np.asarray(totals, np.int64), np.asarray(begins, np.int64), *table, window, -(-time // window))
 
     def after(self, k: np.ndarray, queue: np.ndarray) -> np.ndarray:
         """Tokens given by ``queue`` in the windows before ``k``."""
-        phase = np.maximum(np.searchsorted(self.begins, k, "right") - 1, 0)
-        step, quantum = k - self.begins[phase], self.quantum[phase, queue]
-        out = self.given[phase, queue] + step * (quantum >> 32) + (step * (quantum & 0xFFFFFFFF) >> 32)
-        return np.where(k >= self.windows, self.totals[queue], np.minimum(out, self.totals[queue]))
+        time = k * self.size
+        phase = np.maximum(np.searchsorted(self.begins, time, "right") - 1, 0)
+        step, rate = time - self.begins[phase], self.rate[phase, queue]
+        # step * rate in two parts, as it may exceed 64 bits.
+        high, low = (step >> 30) * rate, (step & 0x3FFFFFFF) * rate
+        flowed = (high >> 2) + (low + self.rest[phase, queue] + ((high & 3) << 30) >> 32)
+        return np.where(k >= self.windows, self.totals[queue], np.minimum(self.given[phase, queue] + flowed, self.totals[queue]))
 
     def window(self, at: np.ndarray, queue: np.ndarray) -> np.ndarray:
         """The window that takes the token ``at`` of ``queue``."""
@@ -200,32 +219,53 @@ def sequences(total: int, length: int = SEQUENCE) -> tuple[int, np.ndarray]:
     return total // length, total - rest + np.cumsum([0, *sizes])[:-1].astype(np.int64)
 
 
+def _queues(table: DataFrame, targets: dict[str, float] | None, window: int) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """part, source, queue and base (tokens of the queue before); the queues with their tokens."""
+    parts = stored(table.groupBy("part", "source").agg(F.sum("n").alias("n")))
+    sources = stored(parts.groupBy("source").agg(F.sum("n").alias("n")))
+    if targets is None:  # at most ``window`` sources hold so much
+        own = F.col("n") * window >= (sources.agg(F.sum("n")).first()[0] or 0)
+    else:
+        own = F.col("source").isin([_tag(s) for s in targets])
+    bucket = F.pmod(F.xxhash64("source"), F.lit(_BUCKETS))
+    sources = stored(sources.withColumns({"queue": F.when(own, F.col("source")).otherwise(SHARED), "bucket": bucket}))
+    # The shared queue holds one source after the other, by bucket and name.
+    shared = sources.filter(F.col("queue") == SHARED)
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = shared.groupBy("bucket").agg(F.sum("n").alias("m")).withColumn("begin", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    inside = F.sum("n").over(Window.partitionBy("bucket").orderBy("source")) - F.col("n")
+    shared = shared.withColumn("inside", inside).join(F.broadcast(buckets), "bucket")
+    begins = shared.select("source", "queue", (F.col("begin") + F.col("inside")).alias("begin"))
+    begins = stored(begins.unionByName(sources.filter(F.col("queue") != SHARED).select("source", "queue", F.lit(0).cast("long").alias("begin"))))
+    begins = F.broadcast(begins) if begins.count() <= BROADCAST_ROWS else begins
+    earlier = F.sum("n").over(Window.partitionBy("source").orderBy("part")) - F.col("n")
+    base = parts.withColumn("earlier", earlier).join(begins, "source")
+    base = base.select("part", "source", "queue", (F.col("begin") + F.col("earlier")).alias("base"))
+    sums = sources.groupBy("queue").agg(F.sum("n").alias("n")).collect()
+    return (F.broadcast(base) if parts.count() <= BROADCAST_ROWS else base), sorted((r.queue, r.n) for r in sums)
+
+
 def packed(
     docs: DataFrame,
     ranks_path: str,
     targets: dict[str, float] | None = None,
     length: int = SEQUENCE,
     per_window: int = SEQUENCES_PER_WINDOW,
-    queues: int = QUEUES,
 ) -> DataFrame:
     """Pieces of all documents in sequences of at most ``length`` tokens.
 
-    ``targets`` gives sources their share of every window (others get none while those with a share
-    last); without it the shares are those of the whole corpus.
+    ``targets`` gives sources, some thousands at most, their share of every window (others get none while
+    those with a share last); without it the shares are those of the whole corpus.
     """
-    table = tokenized(docs, ranks_path, queues)
-    parts = stored(table.groupBy("part", "queue").agg(F.sum("n").alias("n")))
-    sums = sorted((r.queue, r.n) for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).collect())
+    table = tokenized(docs, ranks_path)
+    base, sums = _queues(table, targets, length * per_window)
     number = {queue: i for i, (queue, _) in enumerate(sums)}
-    shares = None if targets is None else [targets.get(queue[1:] if queue else None, 0.0) for queue, _ in sums]
+    wanted = {_tag(s): share for s, share in (targets or {}).items()}
+    shares = None if targets is None else [wanted.get(queue, 0.0) for queue, _ in sums]
     plan = Plan.make([n for _, n in sums], shares, length * per_window)
     full, tail = sequences(int(plan.totals.sum()), length)
     sent = send(docs.sparkSession, (plan, number))
-
-    order = Window.partitionBy("queue").orderBy("part")
-    base = parts.select("part", "queue", (F.sum("n").over(order) - F.col("n")).alias("base"))
-    base = F.broadcast(base) if parts.count() <= BROADCAST_ROWS else base
-    rows = table.join(base, ["part", "queue"]).select("doc_id", "queue", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
+    rows = table.join(base, ["part", "source"]).select("doc_id", "queue", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         plan, number = received(sent)

@@ -11,6 +11,10 @@ from pressloom.llm import queries_sql as sql
 from pressloom.llm.shared import documents
 
 
+#: Target shares of the sources in each window of sequences: equal ones.
+TARGETS = {f"src{i}": 1 / 20 for i in range(20)}
+
+
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.clusters(documents(spark, sf), 4, 85)
 
@@ -26,7 +30,7 @@ def op3_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_pack(spark: SparkSession, sf: str) -> DataFrame:
-    return pack.packed(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack.packed(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"), TARGETS)
 
 
 def op5_chat(spark: SparkSession, sf: str) -> DataFrame:

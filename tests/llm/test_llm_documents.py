@@ -246,10 +246,47 @@ def test_packing_odd_rows_with_targets(spark, targets):
     docs = spark.createDataFrame(ODD_PACKS, "doc_id long, text string, source string")
     ids = hf_ids([(i, t) for i, t, _ in ODD_PACKS])
     unpacked(pack.packed(docs, RANKS, targets).collect(), ids)
-    unpacked(pack.packed(docs, RANKS, targets, length=16, per_window=2, queues=1).collect(), ids)
+    unpacked(pack.packed(docs, RANKS, targets, length=16, per_window=2).collect(), ids)
     assert pack.packed(docs.limit(0), RANKS, targets).count() == 0
 
 
+@pytest.mark.parametrize("targets", [None, {"s7": 0.5, "s5999": 0.5, "absent": 1.0}])
+def test_packing_of_thousands_of_sources(spark, targets):
+    rows = [(i, "one two three " * (1 + i % 3), f"s{i % 6000}" if i % 4 else "s7", "x", 1, 2) for i in range(7000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, queue string, part int, n int").repartition(3)
+    out = pack.packed(docs, RANKS, targets, length=16, per_window=4).collect()
+    ids = hf_ids([(i, t) for i, t, *_ in rows])
+    unpacked(out, ids)
+    windows = defaultdict(lambda: defaultdict(int))
+    named = {i for i, _, s, *_ in rows if s in ("s7", "s5999")}
+    for r in out:
+        windows[r.window]["all"] += r.length
+        windows[r.window]["named"] += r.length * (r.doc_id in named)
+    sizes = [w["all"] for _, w in sorted(windows.items())]
+    assert all(abs(n - 64) <= 4 for n in sizes[:-1])
+    if targets:  # named sources first, then the others
+        shares = [w["named"] / w["all"] for _, w in sorted(windows.items())]
+        last = sum(len(ids[i]) for i in named) // 64
+        assert all(x == 1 for x in shares[: last - 1]) and all(x == 0 for x in shares[last + 1 :])
+
+
+@pytest.mark.parametrize(("totals", "shares"), [((1000, 100_000, 100_000), (0.5, 0.25, 0.25)), ((7, 5, 90_001), (1, 2, 0)), ((9, 9, 9), (0, 0, 0)), ((1, 10**13, 3), None)])
+def test_windows_stay_full_where_queues_run_out(totals, shares):
+    plan = pack.Plan.make(list(totals), shares and list(shares), 4096)
+    some = min(plan.windows, 200)
+    edges = [k for k in (*range(some), plan.windows // 2, plan.windows - 1) if k < plan.windows]
+    every = np.arange(len(totals))
+    for k in edges:
+        begin, end = (plan.after(np.full(len(totals), x), every) for x in (k, k + 1))
+        assert (begin <= end).all()
+        assert k == plan.windows - 1 or abs(int((end - begin).sum()) - 4096) <= len(totals) + 1
+    assert plan.after(np.full(len(totals), plan.windows), every).tolist() == list(totals)
+    if shares and sum(shares):  # a queue that lasts keeps its share
+        k = 1 if totals[0] >= 4096 else 0
+        got = plan.after(np.full(3, k), every)
+        assert all(abs(g - min(t, 4096 * k * s / sum(shares))) <= 1 for g, t, s in zip(got, totals, shares))
+
+
 def test_windows_hold_the_target_shares(spark):
     rows = [(i, "a b c d e f g h " * 20, "ab"[i % 2]) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
