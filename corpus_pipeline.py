@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.llm import decontaminate, language, ngram_join, pack, pii
+from pressloom.llm.queries import TARGETS
 from pressloom.llm.shared import documents, fresh, stored, without
 
 #: A document goes if less than this share of its n-grams belongs to any one language.
@@ -59,7 +60,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens, sources mixed evenly."""
-    return pack.packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack.packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), TARGETS)
 
 
 STAGES = [
