@@ -6,13 +6,15 @@ left, a page's articles (or its main part, or else its body) give the text, with
 navigation, headers, footers, sidebars, notices, adverts, forms, scripts, styles or comments by their
 tag, class, id or role. Containers (divisions, lists, tables) with all they hold are template from
 ``TEMPLATE_PAGES`` pages on, on a host of any size and within articles too. Other elements are so only
-outside of articles and if ``TEMPLATE_SHARE`` of the host's pages have them: a lone paragraph that
-several articles quote is text. A container that holds most of an article is never template.
+outside of articles: a lone paragraph that several articles quote is text. A container that holds most
+of an article is never template.
 
 Character references are decoded, white space becomes one space, blocks are joined by one space. Null
 and empty pages have no text. Unclosed and misnested tags are closed as their parents close. Pages
 without a host form one site. Equal pages count once for the templates; repeated rows are extracted
-each.
+each. A page of any length is read whole. An element in as many pages as the least is template, so
+nothing is tied. An empty table gives no rows; only id, url and html are read of a table, whatever other
+columns it has.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from pressloom.llm.shared import map_arrow, stored
 
-TEMPLATE_PAGES, TEMPLATE_SHARE = 5, 0.1
+TEMPLATE_PAGES = 5
 #: Up to so many templates of a host go along with each of its pages; of more, each page gets its own ones.
 HOST_LIST = 512
 BROADCAST_ROWS = 200_000
@@ -262,12 +264,10 @@ def _subtrees(rows: DataFrame) -> DataFrame:
     return map_arrow(rows.select("host", "page", "html"), run, "host string, page long, subtree long").distinct()
 
 
-def templates(rows: DataFrame, least: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+def templates(rows: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
     """host, subtree for the recurring subtrees among rows of host, page, html."""
-    many = _subtrees(rows).groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    sizes = rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    container = F.col("subtree").bitwiseAND(F.lit(1)) == 1
-    return many.join(sizes, "host").filter(container | (F.col("n") >= share * F.col("pages"))).select("host", "subtree")
+    many = _subtrees(rows).groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    return many.filter(F.col("n") >= least).select("host", "subtree")
 
 
 def _small(df: DataFrame, size: int) -> DataFrame:
