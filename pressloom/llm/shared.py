@@ -30,6 +30,17 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+#: Most of a batch that goes to a Python worker, so that JVM and worker hold little outside of the heap.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session are cut by bytes; a smaller bound of its own stays."""
+    name, most = BATCH_BYTES
+    if not 0 < int(spark.conf.get(name, "0").rstrip("b")) <= most:
+        spark.conf.set(name, most)
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], schema: str
 ) -> DataFrame:
@@ -37,6 +48,7 @@ def map_arrow(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    small_batches(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,6 +68,7 @@ def without(df: DataFrame, ids: DataFrame, key: str, most: int = 1_000_000) -> D
 
 def send(spark: SparkSession, value: object) -> Broadcast:
     """Broadcast objects of this package's classes to workers that cannot import it."""
+    small_batches(spark)
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 
