@@ -37,8 +37,8 @@ BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of the session are cut by bytes; a smaller bound of its own stays."""
     name, most = BATCH_BYTES
-    if not 0 < int(spark.conf.get(name, "0").rstrip("b")) <= most:
-        spark.conf.set(name, most)
+    if int(spark.conf.get(name).rstrip("b")) > most:
+        spark.conf.set(name, str(most))
 
 
 def map_arrow(
