@@ -3,12 +3,13 @@ does not exist. Input are enriched articles with ``position`` inside their issue
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.constants import CATEGORIES, CATEGORY_SEPARATOR, ISSUE_PREFIX, PREVIEW_TITLES, SEARCH_DAYS
 from pressloom.functions.text import japanese_date, published_label, report_date
 from pressloom.operators.enrich import category_label
+from pressloom.operators.ordering import with_position
 
 
 def issue_key(as_of: Column) -> Column:
@@ -85,15 +86,13 @@ def archive_index(issue_names: DataFrame, name: str = "name") -> DataFrame:
     well_formed = rest.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
     day = F.when(well_formed, F.try_to_date(rest, "yyyy-M-d"))
     shown = F.coalesce(F.date_format(day, "yyyy年MM月dd日号"), rest)
-    return (
+    named = (
         issue_names.filter(F.startswith(F.col(name), F.lit(ISSUE_PREFIX)))
         .select(F.col(name).alias("name"))
         .distinct()
         .select("name", F.concat("name", F.lit(".html")).alias("file_name"), shown.alias("display_date"))
-        # One row per issue ever published: the window over all of them stays small.
-        .withColumn("rank", F.row_number().over(Window.orderBy(F.col("file_name").desc())).cast("bigint"))
-        .orderBy("rank")
     )
+    return with_position(named, [F.col("file_name").desc()], "rank").orderBy("rank")
 
 
 def _category_text() -> Column:

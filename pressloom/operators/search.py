@@ -15,20 +15,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.constants import ARTICLES_PER_GROUP, EXCLUDED_DOMAINS, KEYWORD_GROUPS
+from pressloom.functions.phrases import phrase_counter
 from pressloom.functions.text import host_of, in_domains, occurrences, parse_instant, utc_date
 from pressloom.issue import Issue
+from pressloom.lineage import cut
 from pressloom.operators.ordering import newest_first, top_k_per_group
 
 #: Ranks inside a group stay below this, so ``group_idx * GROUP_STRIDE + rank`` keeps the order.
 GROUP_STRIDE = 1 << 32
 
 
-def match_groups(articles: DataFrame, groups: Sequence[Sequence[str]] = KEYWORD_GROUPS) -> DataFrame:
+#: Up to so many phrases become expressions, each of which reads the text again.
+EXPRESSIONS = 64
+#: Characters of the phrases of one automaton; longer lists are matched by several.
+AUTOMATON_CHARS = 8_000_000
+#: Domains of one depth up to this number are broadcast.
+DOMAIN_ROWS = 2_000_000
+
+
+def match_groups(
+    articles: DataFrame, groups: Sequence[Sequence[str]] = KEYWORD_GROUPS, expressions: int = EXPRESSIONS
+) -> DataFrame:
     """One row per article and keyword group it matches, with ``group_idx`` and ``hits``.
 
-    The groups are a short constant, so they become expressions over the row: no join, no
-    shuffle, and an article without a match never leaves its task.
+    A short list becomes expressions over the row; a longer one an automaton that finds all phrases in one
+    pass of each text. In both cases there is no join and no shuffle, and an article without a match
+    never leaves its task.
     """
+    if sum(map(len, groups)) > expressions:
+        return _matched_by_automata(articles, groups)
     # Lower-cased once here; the optimizer keeps the projection because it is used often.
     lowered = articles.withColumn("_title", F.lower(F.coalesce("title", F.lit("")))).withColumn(
         "_text", F.lower(F.coalesce("description", F.lit("")))
@@ -50,6 +65,21 @@ def match_groups(articles: DataFrame, groups: Sequence[Sequence[str]] = KEYWORD_
     )
 
 
+def _matched_by_automata(articles: DataFrame, groups: Sequence[Sequence[str]]) -> DataFrame:
+    sc, parts, size = articles.sparkSession.sparkContext, [[]], 0
+    for g, phrases in enumerate(groups):  # whole groups, so that hits of a group are added up in one place
+        size += sum(map(len, phrases))
+        if size > AUTOMATON_CHARS and parts[-1]:
+            parts, size = [*parts, []], sum(map(len, phrases))
+        parts[-1].append((g, [p.lower() for p in phrases]))
+    lowered = articles.withColumns({"_title": F.lower(F.coalesce("title", F.lit(""))), "_text": F.lower(F.coalesce("description", F.lit("")))})
+    found = [phrase_counter(sc.broadcast(part))("_title", "_text") for part in parts]
+    return (
+        lowered.withColumn("_match", F.explode(F.concat(*found)))
+        .select(*articles.columns, "_match.group_idx", "_match.hits")
+    )
+
+
 def _published_date(date_column: str | None) -> Column:
     return F.col(date_column) if date_column else utc_date(parse_instant(F.col("published_at")))
 
@@ -94,6 +124,24 @@ def exclude_domains(articles: DataFrame, domains: Sequence[str] = EXCLUDED_DOMAI
     return articles.filter(~in_domains(host_of(F.coalesce("url", F.lit(""))), domains))
 
 
+def exclude_listed(articles: DataFrame, domains: DataFrame, column: str = "domain", most: int = DOMAIN_ROWS) -> DataFrame:
+    """:func:`exclude_domains` for a list of any length, given as a table.
+
+    A host lies on or below a domain of n labels if its last n labels are that domain. So the list is
+    split by its number of labels, of which there are few, and each part takes out its rows by an
+    anti-join: with a broadcast of the part, so that articles are never shuffled, or, beyond ``most``
+    domains, on the keys.
+    """
+    names = domains.select(F.lower(column).alias("_domain")).filter("_domain != ''").distinct()
+    names = cut(names.withColumn("_labels", F.size(F.split("_domain", r"\."))))
+    rows = articles.withColumn("_host", host_of(F.coalesce("url", F.lit(""))))
+    for labels, n in sorted((r["_labels"], r["count"]) for r in names.groupBy("_labels").count().collect()):
+        part = names.filter(F.col("_labels") == labels).select("_domain")
+        part = F.broadcast(part) if n <= most else part
+        rows = rows.join(part, F.substring_index("_host", ".", -labels) == F.col("_domain"), "left_anti")
+    return rows.select(*articles.columns)
+
+
 def most_relevant(
     matches: DataFrame, k: int = ARTICLES_PER_GROUP, scope: Sequence[str] = (), seq: Sequence[str] = ("seq",)
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pressloom.functions.text import normalize_url, parse_instant, published_label, strip_fence
 from pressloom.issue import Issue
 from pressloom.lineage import shared_dir
-from pressloom.operators import dedup, enrich, ordering, quality, report, search, titles
+from pressloom.operators import dedup, enrich, ordering, quality, report, search, title_candidates, titles
 from pressloom.plans import tables as src
 from pressloom.plans.digest import Collected, Settings, collect, publish
 from pressloom.sources import archive, responses
@@ -66,11 +66,25 @@ def src_archive(spark: SparkSession, sf: str) -> DataFrame:
     return _day(archive.read_archive(spark, path))
 
 
+def src_issue_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores every issue as one JSON array file and reads the files back."""
+    path = f"{shared_dir(spark)}/issues-{uuid.uuid4().hex}"
+    archive.write_issue_files(src.issues(spark, sf).withColumn("image_url", F.lit(None).cast("string")), path)
+    return _day(archive.read_issue_files(spark, f"{path}/*.json"))
+
+
 def kw_group_match(spark: SparkSession, sf: str) -> DataFrame:
     found = search.match_groups(src.articles(spark, sf), src.GROUPS)
     return found.select("seq", F.col("group_idx").cast("bigint").alias("group_idx"), "hits")
 
 
+def kw_group_match_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The same groups among ten thousand other phrases, by one automaton."""
+    others = [[f"phrase {i} of a long list", f"{i} more words"] for i in range(5_000)]
+    found = search.match_groups(src.articles(spark, sf), [*src.GROUPS, *others])
+    return found.select("seq", F.col("group_idx").cast("bigint").alias("group_idx"), "hits")
+
+
 def date_window(spark: SparkSession, sf: str) -> DataFrame:
     return search.date_window(src.articles(spark, sf), AS_OF).select("seq", "published_at")
 
@@ -83,6 +97,13 @@ def domain_exclude(spark: SparkSession, sf: str) -> DataFrame:
     return search.exclude_domains(src.articles(spark, sf), src.DOMAINS).select("seq", "url", "source")
 
 
+def domain_exclude_listed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same domains within a table of others, one for each order."""
+    others = src.table(spark, sf, "orders").select(F.concat(F.lit("site"), "o_orderkey", F.lit(".example.edu")).alias("domain"))
+    listed = others.unionByName(spark.createDataFrame([(d,) for d in src.DOMAINS], "domain string"))
+    return search.exclude_listed(src.articles(spark, sf), listed).select("seq", "url", "source")
+
+
 def digest_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """Row counts of the whole job: found per keyword group and in all, valid, unique, final."""
     collected = _collected(spark, sf)
@@ -129,10 +150,17 @@ def title_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return titles.first_similar_titles(src.with_near_copies(spark, sf))
 
 
-def first_line_pairs_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The same search over a larger table: the first lines of all documents."""
-    line = F.substring_index("text", "\n", 1).alias("title")
-    return titles.first_similar_titles(src.table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), line))
+def near_title_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search by candidates, for lists of any length."""
+    return title_candidates.first_similar_candidates(src.with_near_copies(spark, sf))
+
+
+def sentence_pairs_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Similar sentences: all sentences and lines of the whole texts of all documents as titles."""
+    texts = src.table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", r"[.!?\n]+")).alias("pos", "sentence"))
+    place = (F.col("doc_id") * F.lit(1 << 32) + F.col("pos")).alias("seq")
+    sentences = texts.select(place, F.trim("sentence").alias("title")).filter("title != ''")
+    return title_candidates.first_similar_candidates(sentences)
 
 
 def dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,10 +299,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "digest_funnel": digest_funnel,
     "project_articles": project_articles,
     "src_archive": src_archive,
+    "src_issue_files": src_issue_files,
     "kw_group_match": kw_group_match,
+    "kw_group_match_many": kw_group_match_many,
     "date_window": date_window,
     "lang_filter": lang_filter,
     "domain_exclude": domain_exclude,
+    "domain_exclude_listed": domain_exclude_listed,
     "topk_per_group": topk_per_group,
     "union_groups": union_groups,
     "valid_articles": valid_articles,
@@ -282,7 +313,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "url_norm": url_norm,
     "dedup_url": dedup_url,
     "title_pairs": title_pairs,
-    "first_line_pairs_documents": first_line_pairs_documents,
+    "near_title_pairs": near_title_pairs,
+    "sentence_pairs_documents": sentence_pairs_documents,
     "dedup_greedy": dedup_greedy,
     "parse_published": parse_published,
     "sort_newest": sort_newest,

@@ -316,3 +316,9 @@ ORACLES: dict[str, str] = {
              total_articles, categories
       FROM texts""",
 }
+
+ORACLES |= {
+    "src_issue_files": f"SELECT *, false AS unreadable FROM ({ORACLES['src_archive']})",
+    "kw_group_match_many": ORACLES["kw_group_match"],
+    "domain_exclude_listed": ORACLES["domain_exclude"],
+}

@@ -57,12 +57,14 @@ def test_first_similar_titles_of_the_whole_table_equal_the_loop(spark):
     for seq, title in sorted((r.seq, r.title.lower()) for r in tables.with_near_copies(spark, SF_DIR).collect()):
         first.setdefault(title, seq)
     titles = sorted((seq, title) for title, seq in first.items())
-    want = {
-        next((b, a) for a, earlier in titles[:i] if ratio(later, earlier) >= 0.75)
-        for i, (b, later) in enumerate(titles)
-        if any(ratio(later, earlier) >= 0.75 for _, earlier in titles[:i])
-    }
+    want = {}
+    for i, (b, later) in enumerate(titles):
+        for a, earlier in titles[:i]:
+            if (found := ratio(later, earlier)) >= 0.75:
+                want[later] = (b, earlier, a, found)
+                break
     got = QUERIES["title_pairs"](spark, SF_DIR).collect()
+    assert {r.later_title: (r.later_seq, r.earlier_title, r.earlier_seq, r.ratio) for r in got} == want
     assert len(got) == len(want) > 20
 
 
