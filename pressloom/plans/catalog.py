@@ -15,7 +15,7 @@ from pressloom.lineage import shared_dir
 from pressloom.operators import dedup, enrich, ordering, quality, report, search, title_candidates, titles
 from pressloom.plans import tables as src
 from pressloom.plans.digest import Collected, Settings, collect, publish
-from pressloom.sources import archive, responses
+from pressloom.sources import archive, responses, zones
 
 AS_OF = Issue(datetime(2024, 1, 10, 22, 0))
 BASE_URL, TITLE = "https://news.example.com/digest//", "Weekly digest"
@@ -89,6 +89,14 @@ def date_window(spark: SparkSession, sf: str) -> DataFrame:
     return search.date_window(src.articles(spark, sf), AS_OF).select("seq", "published_at")
 
 
+def date_window_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The same window from stored files without a date column, of which a zone map picks some."""
+    path = f"{shared_dir(spark)}/zoned-{uuid.uuid4().hex}"
+    src.articles(spark, sf).repartitionByRange(16, "published_at").write.parquet(path)
+    zones.update_zones(spark, path, f"{path}-zones")
+    return zones.read_window(spark, path, f"{path}-zones", AS_OF).select("seq", "published_at")
+
+
 def lang_filter(spark: SparkSession, sf: str) -> DataFrame:
     return search.in_language(src.table(spark, sf, "documents")).select("doc_id", "lang", "source", "n_chars")
 
@@ -303,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kw_group_match": kw_group_match,
     "kw_group_match_many": kw_group_match_many,
     "date_window": date_window,
+    "date_window_files": date_window_files,
     "lang_filter": lang_filter,
     "domain_exclude": domain_exclude,
     "domain_exclude_listed": domain_exclude_listed,

@@ -319,6 +319,7 @@ ORACLES: dict[str, str] = {
 
 ORACLES |= {
     "src_issue_files": f"SELECT *, false AS unreadable FROM ({ORACLES['src_archive']})",
+    "date_window_files": ORACLES["date_window"],
     "kw_group_match_many": ORACLES["kw_group_match"],
     "domain_exclude_listed": ORACLES["domain_exclude"],
 }

@@ -1,13 +1,14 @@
 """The whole job against the same job written as a plain loop over rows."""
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 
 import pytest
 from models import enriched, survivors
 
 from pressloom.issue import Issue
+from pressloom.plans import catalog
 from pressloom.plans import tables as src
 from pressloom.plans.digest import Settings, collect, prompts, publish
 
@@ -20,12 +21,12 @@ def text(value):
     return (value or "").strip()
 
 
-def plain_digest(raw, attempts):
+def plain_digest(raw, attempts, issues=ISSUES, settings=SETTINGS, per_group=None):
     """{issue_date: [(position, article_id, title, source, title_ja, summary_ja, category)]}, counters"""
     out, counters = {}, dict.fromkeys(("collected", "valid", "unique", "final"), 0)
-    for issue in ISSUES:
+    for issue in issues:
         hits = []
-        for g, phrases in enumerate(SETTINGS.groups):
+        for g, phrases in enumerate(settings.groups):
             found = []
             for r in raw:
                 host = re.match(r"\w+://([^/?#:]+)", text(r.url))
@@ -33,17 +34,19 @@ def plain_digest(raw, attempts):
                 when = r.published_at and datetime.fromisoformat(r.published_at.replace("Z", "+00:00"))
                 if r.lang != "en" or not when or not issue.window_start <= when.date() <= issue.window_end:
                     continue
-                if any(host == d or host.endswith("." + d) for d in SETTINGS.excluded):
+                if any(host == d or host.endswith("." + d) for d in settings.excluded):
                     continue
                 score = sum((s or "").lower().count(p) for p in phrases for s in (r.title, r.description))
                 if score:
                     found.append((-score, -when.timestamp(), r.article_id, r))
-            hits += [(g, rank, f[3]) for rank, f in enumerate(sorted(found, key=lambda f: f[:3])[: SETTINGS.per_group])]
+            hits += [(g, rank, f[3]) for rank, f in enumerate(sorted(found, key=lambda f: f[:3])[: settings.per_group])]
+        if per_group is not None:
+            per_group.update(g for g, _, _ in hits)
         valid = [h for h in hits if text(h[2].title) and text(h[2].url)]
         valid = [h for h in valid if "[removed]" not in (text(h[2].title).lower(), text(h[2].description).lower())]
         kept = survivors([(n, text(h[2].title), text(h[2].url)) for n, h in enumerate(valid)])
         rows = sorted((valid[n][2] for n in kept), key=lambda r: r.published_at, reverse=True)
-        chosen = rows[: SETTINGS.per_issue]
+        chosen = rows[: settings.per_issue]
         for name, rows_ in zip(counters, (hits, valid, kept, chosen)):
             counters[name] += len(rows_)
         out[issue.issue_date] = [
@@ -88,6 +91,23 @@ def test_digest_equals_the_plain_loop(spark, inputs):
     assert {r.article_id for r in prompts(collected, SETTINGS).collect()} == ids
 
 
+def test_queries_of_the_digest_equal_the_plain_loop(spark):
+    """Every count of the funnel and every card, over the whole tables."""
+    raw = src.raw_articles(spark, SF_DIR).withColumnsRenamed({"seq": "article_id", "source_name": "source"}).collect()
+    tries = defaultdict(dict)
+    for a in src.attempts(spark, SF_DIR).collect():
+        tries[a.seq][a.attempt] = (a.outcome, a.text)
+    issues, groups = [Issue(datetime(2024, 1, day, 22, 0)) for day in (3, 10, 17)], Counter()
+    want, counters = plain_digest(raw, tries, issues, Settings(groups=src.GROUPS, excluded=src.DOMAINS), groups)
+    funnel = {r.stage: r.n for r in catalog.digest_funnel(spark, SF_DIR).collect()}
+    found = {f"group_{g}": groups[g] for g in range(len(src.GROUPS))}
+    assert funnel == found | {"all": counters["collected"]} | {k: counters[k] for k in ("valid", "unique", "final")}
+    cards = catalog.digest_cards(spark, SF_DIR).collect()
+    got = sorted((r.issue_date, r.position, r.source, r.title_ja, r.summary_ja, r.category) for r in cards)
+    assert got == sorted((str(day), r[0], *r[3:]) for day, rows in want.items() for r in rows)
+    assert len(got) > 5
+
+
 def test_no_hits_make_no_issue(spark, inputs):
     raw, attempts = inputs
     digest = publish(collect(raw, [Issue(datetime(2030, 1, 1))], SETTINGS), attempts, SETTINGS)
