@@ -7,8 +7,11 @@ k-grams, hence its smallest hash, so no shared span is missed. A benchmark item
 that length are fingerprints. Documents whose fingerprints meet a benchmark item get their hits
 extended: every shared word window is marked.
 
-Null or empty texts have no words and are never hit. Items without an id hit, but are not counted or named. Equal items are reported each. Repeated
-document rows are judged each. Word and window hashes have 64 bits.
+Null or empty texts have no words and are never hit. Items without an id hit, but are not counted or
+named. Equal items are reported each. Repeated document rows are judged each. Of equal smallest hashes
+in a window any may stand for it, as both sides choose alike. A text of any length is searched whole.
+Without documents there are no rows, without items no hits. Only ids and texts are read of a table,
+whatever other columns it has. Word and window hashes have 64 bits.
 """
 
 from __future__ import annotations

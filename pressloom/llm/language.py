@@ -11,7 +11,8 @@ ten times as frequent in some other language: they are quotations and noise.
 
 Null texts and texts without a letter are ``und`` with score 0, as are all where nothing was learned.
 A text too short for an n-gram gets the most frequent language, with score 0. Ties go to the language
-that sorts first. Repeated rows are judged each.
+that sorts first. Repeated rows are judged each. A text of any length is read whole, in slices with others.
+An empty table gives no rows; ``accepted`` keeps all columns of a table, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ The output is components, so no pair within a known component is looked at:
 
 Null or empty texts have an empty set and are linked with nothing; with fewer words than a shingle
 has, the whole sequence is the only shingle. Rows are judged by their texts; rows without an id get
-the id of their class, or none. Repeated rows give repeated results.
+the id of their class, or none. Repeated rows give repeated results. A text of any length is one set. Shingles
+that are equally rare are ordered by their hashes, so both sides of a pair order them alike. An empty table
+gives no rows. Only id and text are read of a table, whatever other columns it has.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ probability of being good follows from its votes; it is kept from ``KEEP`` on. E
 functions; texts are read once.
 
 Null and empty texts have no words and fail the base rules. Ties do not arise: equal votes get equal
-probabilities. Repeated rows are judged and counted each.
+probabilities. Repeated rows are judged and counted each. A text of any length is counted whole. An empty
+table gives no rows. Only id and text are read of a table, whatever other columns it has.
 """
 
 from __future__ import annotations

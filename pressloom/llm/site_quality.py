@@ -8,7 +8,9 @@ really differ. A document's quality combines its evidence with what the others o
 
 Null texts are empty, null hosts and paths are groups of their own. Without labels all evidence is
 even. A document alone on its path gets its host's rate, alone on its host the global one. Several
-labels of a document count one each. Repeated rows are judged and counted each.
+labels of a document count one each. Repeated rows are judged and counted each, and nothing is ranked, so
+there are no ties. A text of any length is counted whole. An empty table gives no rows. Only id, text and the
+columns named for host and path are read of a table.
 """
 
 from __future__ import annotations
