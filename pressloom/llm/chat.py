@@ -10,9 +10,8 @@ The loss mask covers the texts of assistant turns.
 
 Null texts and roles are empty. A message whose parent is missing is a root. Messages that reply to
 each other in a circle have no root and are on no path. Equal branch scores go to the longer branch,
-then to the smaller leaf. Rows without a conversation id form one conversation. Rows with the id of another
-message of their conversation are messages of their own only if the caller numbers them so; ``digests``
-numbers all rows by turn, repeated ones included. A text of any length is escaped whole. An empty table
+then to the smaller leaf. Rows without a conversation id form one conversation.
+``digests`` takes all rows by turn, repeated ones included. A text of any length is escaped whole. An empty table
 gives no conversations, but ``digests`` still has the one it adds. Other columns of a table are not read.
 """
 
