@@ -86,4 +86,10 @@ QUERIES = {
     "op12_simhash": op12_simhash,
     "op13_vector_codes": op13_vector_codes,
 }
-ORACLES = {"op11_centroids": sql.centroids(), "op13_vector_codes": sql.vector_codes()}
+ORACLES = {
+    "op1_ngram_join": sql.ngram_join(),
+    "op5_chat": sql.chat(),
+    "op6_decontaminate": sql.decontaminate(),
+    "op11_centroids": sql.centroids(),
+    "op13_vector_codes": sql.vector_codes(),
+}

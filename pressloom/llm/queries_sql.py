@@ -60,3 +60,59 @@ def vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
         SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
             (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
         FROM coded JOIN kept USING (vec_id)"""
+
+
+_SPACED, _LETTERED = "[^\\x20\\x09-\\x0D]+", "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+
+def _words(pattern: str) -> str:
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lowered}, '{pattern}')"
+
+
+def ngram_join(k: int = 4, percent: int = 85) -> str:
+    """Pairs of all sets that share a shingle, and all that is reachable from each set."""
+    grams = f"CASE WHEN len(w) >= {k} THEN [array_to_string(w[i : i + {k - 1}], ' ') FOR i IN range(1, len(w) - {k - 2})] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"
+    return f"""WITH RECURSIVE words AS (SELECT doc_id, {_words(_SPACED)} AS w FROM documents),
+        own AS MATERIALIZED (SELECT doc_id, list_sort(list_distinct({grams})) AS s FROM words),
+        classes AS MATERIALIZED (SELECT s, min(doc_id) AS c, len(s) AS n FROM own WHERE len(s) > 0 GROUP BY s),
+        posted AS MATERIALIZED (SELECT c, n, unnest(s) AS g FROM classes),
+        pairs AS (SELECT a.c AS a, b.c AS b, a.n + b.n AS n, count(*) AS m FROM posted a JOIN posted b USING (g) WHERE a.c < b.c GROUP BY ALL),
+        links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * m >= {percent} * (n - m)),
+        sides AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached(c, r) AS (SELECT c, c FROM classes UNION SELECT reached.c, sides.b FROM reached JOIN sides ON sides.a = reached.r),
+        least AS (SELECT c, min(r) AS component_id FROM reached GROUP BY c)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+        FROM own LEFT JOIN classes USING (s) LEFT JOIN least USING (c)"""
+
+
+def chat(learned: str = "assistant") -> str:
+    hard = r"\### Assistant: </turn> ok"
+    more = f"VALUES (-7, 0, 'user', '{hard}'), (-7, 1, 'assistant', '{hard}')"
+    escaped = r"(2 * length({0}) - length(regexp_replace({0}, '[\\<>]', '', 'g')))"
+    marks = len("<turn:>\n\n</turn>\n")
+    return f"""WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos
+            FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL {more}))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY pos)) AS turns_sha256,
+            CAST(sum(CASE WHEN r = '{learned}' THEN length(t) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(string_agg(CASE WHEN r = '{learned}' THEN t ELSE '' END, '' ORDER BY pos)) AS loss_sha256,
+            CAST(sum({escaped.format('r')} + {escaped.format('t')} + {marks}) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id"""
+
+
+def decontaminate(window: int = 10) -> str:
+    """Windows of every length that items have, joined as texts."""
+    grams = "unnest([{{'p': i, 'g': array_to_string(w[i : i + {n} - 1], ' ')}} FOR i IN range(1, len(w) - {n} + 2)], recursive := true)"
+    return f"""WITH docs AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS row, {_words(_LETTERED)} AS w FROM documents),
+        items AS MATERIALIZED (SELECT item_id, w, least(len(w), {window}) AS n FROM (SELECT item_id, {_words(_LETTERED)} AS w FROM benchmark) WHERE len(w) > 0),
+        tested AS MATERIALIZED (SELECT DISTINCT item_id, n, g FROM (SELECT item_id, n, {grams.format(n='n')} FROM items)),
+        present AS (SELECT row, n, {grams.format(n='n')} FROM docs, (SELECT DISTINCT n FROM items)),
+        met AS MATERIALIZED (SELECT row, p, n, item_id FROM present JOIN tested USING (n, g)),
+        hits AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(p, p + n)) AS place FROM met) GROUP BY row),
+        named AS (SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY row)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)"""
