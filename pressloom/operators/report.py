@@ -1,5 +1,9 @@
 """Tables of a published issue. All are grouped by ``issue_date``; an issue without articles
-does not exist. Input are enriched articles with ``position`` inside their issue."""
+does not exist. Input are enriched articles with ``position`` inside their issue.
+
+Tables of counts and first titles are made in two steps: a state per issue, of fixed size, and the table
+from the states. States can be stored (``sources.states``); the tables then need no articles.
+"""
 
 from __future__ import annotations
 
@@ -26,9 +30,24 @@ def _per_category() -> list[Column]:
     return [F.count_if(F.col("category") == key).alias(f"n_{key}") for key, _ in CATEGORIES]
 
 
+def issue_states(articles: DataFrame) -> DataFrame:
+    """One row per issue: its number of articles, one counter per category, its first titles.
+
+    What a table does not read of a state is pruned from the aggregate.
+    """
+    first = F.when(F.col("position") <= PREVIEW_TITLES, F.struct("position", "title_ja"))
+    return articles.groupBy("issue_date").agg(
+        F.count(F.lit(1)).alias("total_articles"), *_per_category(), F.array_sort(F.collect_list(first)).alias("first_titles")
+    )
+
+
 def category_counts(articles: DataFrame) -> DataFrame:
     """Every category of every issue in report order, zeros included. A category outside the
     list is counted nowhere."""
+    return counts_of(issue_states(articles))
+
+
+def counts_of(states: DataFrame) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
@@ -40,7 +59,7 @@ def category_counts(articles: DataFrame) -> DataFrame:
             for i, (key, label) in enumerate(CATEGORIES)
         ]
     )
-    return articles.groupBy("issue_date").agg(*_per_category()).select("issue_date", F.inline(rows))
+    return states.select("issue_date", F.inline(rows))
 
 
 def category_badges(articles: DataFrame) -> DataFrame:
@@ -62,18 +81,18 @@ def article_cards(articles: DataFrame) -> DataFrame:
 
 
 def issue_header(articles: DataFrame) -> DataFrame:
+    return header_of(issue_states(articles))
+
+
+def header_of(states: DataFrame) -> DataFrame:
     end = F.col("issue_date")
-    return (
-        articles.groupBy("issue_date")
-        .agg(F.count(F.lit(1)).alias("total_articles"))
-        .select(
-            "issue_date",
-            japanese_date(end).alias("issue_label"),
-            F.date_format(F.date_sub(end, SEARCH_DAYS), "yyyy/MM/dd").alias("period_start"),
-            F.date_format(end, "yyyy/MM/dd").alias("period_end"),
-            F.year(end).cast("bigint").alias("year"),
-            "total_articles",
-        )
+    return states.select(
+        "issue_date",
+        japanese_date(end).alias("issue_label"),
+        F.date_format(F.date_sub(end, SEARCH_DAYS), "yyyy/MM/dd").alias("period_start"),
+        F.date_format(end, "yyyy/MM/dd").alias("period_end"),
+        F.year(end).cast("bigint").alias("year"),
+        "total_articles",
     )
 
 
@@ -105,27 +124,30 @@ def _category_text() -> Column:
 
 def digest_category_text(articles: DataFrame) -> DataFrame:
     """Non-zero categories of an issue in one line of text, empty if there are none."""
-    return articles.groupBy("issue_date").agg(*_per_category()).select("issue_date", _category_text().alias("categories"))
+    return category_text_of(issue_states(articles))
+
+
+def category_text_of(states: DataFrame) -> DataFrame:
+    return states.select("issue_date", _category_text().alias("categories"))
 
 
 def digest_preview(articles: DataFrame) -> DataFrame:
     """First titles of an issue, and how many articles come after them."""
-    first = F.col("position") <= PREVIEW_TITLES
-    titles = F.array_sort(F.collect_list(F.when(first, F.struct("position", "title_ja"))))
-    return (
-        articles.groupBy("issue_date")
-        .agg(titles.alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            "issue_date",
-            F.greatest(F.col("_n") - PREVIEW_TITLES, F.lit(0)).alias("remaining"),
-            F.posexplode("_first").alias("_pos", "_row"),
-        )
-        .select("issue_date", F.col("_row.position").alias("position"), F.col("_row.title_ja").alias("title_ja"), "remaining")
-    )
+    return preview_of(issue_states(articles))
+
+
+def preview_of(states: DataFrame) -> DataFrame:
+    remaining = F.greatest(F.col("total_articles") - PREVIEW_TITLES, F.lit(0)).alias("remaining")
+    rows = states.select("issue_date", remaining, F.explode("first_titles").alias("row"))
+    return rows.select("issue_date", F.col("row.position").alias("position"), F.col("row.title_ja").alias("title_ja"), "remaining")
 
 
 def digest_row(articles: DataFrame, base_url: str, title: str) -> DataFrame:
     """Subject line, link and numbers of the notification for an issue."""
+    return notification_of(issue_states(articles), base_url, title)
+
+
+def notification_of(states: DataFrame, base_url: str, title: str) -> DataFrame:
     link = F.concat(F.rtrim(F.lit(base_url), F.lit("/")), F.lit("/"), issue_name(F.col("issue_date")), F.lit(".html"))
     subject = F.concat(
         F.lit(f"{title} "),
@@ -134,14 +156,10 @@ def digest_row(articles: DataFrame, base_url: str, title: str) -> DataFrame:
         F.col("total_articles").cast("string"),
         F.lit("件の記事"),
     )
-    return (
-        articles.groupBy("issue_date")
-        .agg(F.count(F.lit(1)).alias("total_articles"), *_per_category())
-        .select(
-            "issue_date",
-            subject.alias("subject"),
-            link.alias("report_url"),
-            "total_articles",
-            _category_text().alias("categories"),
-        )
+    return states.select(
+        "issue_date",
+        subject.alias("subject"),
+        link.alias("report_url"),
+        "total_articles",
+        _category_text().alias("categories"),
     )

@@ -9,13 +9,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressloom.constants import DEFAULT_CATEGORY
 from pressloom.functions.text import normalize_url, parse_instant, published_label, strip_fence
 from pressloom.issue import Issue
 from pressloom.lineage import shared_dir
 from pressloom.operators import dedup, enrich, ordering, quality, report, search, title_candidates, titles
 from pressloom.plans import tables as src
 from pressloom.plans.digest import Collected, Settings, collect, publish
-from pressloom.sources import archive, responses, zones
+from pressloom.sources import archive, responses, states, zones
 
 AS_OF = Issue(datetime(2024, 1, 10, 22, 0))
 BASE_URL, TITLE = "https://news.example.com/digest//", "Weekly digest"
@@ -283,6 +284,31 @@ def digest_row(spark: SparkSession, sf: str) -> DataFrame:
     return _day(report.digest_row(src.issues(spark, sf), BASE_URL, TITLE))
 
 
+def _kept_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Stores all issues, those of odd days with a wrong category, then those again as they should be;
+    the states are brought up to date after each."""
+    path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+    articles = src.issues(spark, sf).withColumn("image_url", F.lit(None).cast("string"))
+    odd = F.dayofmonth("issue_date") % 2 == 1
+    wrong = F.when(odd, F.lit(DEFAULT_CATEGORY)).otherwise(F.col("category"))
+    for written in (articles.withColumn("category", wrong), articles.filter(odd)):
+        archive.write_archive(written, f"{path}/issues")
+        states.update_states(spark, f"{path}/issues", f"{path}/states")
+    return states.read_states(spark, f"{path}/issues", f"{path}/states")
+
+
+def category_counts_kept(spark: SparkSession, sf: str) -> DataFrame:
+    return _day(report.counts_of(_kept_states(spark, sf)))
+
+
+def digest_preview_kept(spark: SparkSession, sf: str) -> DataFrame:
+    return _day(report.preview_of(_kept_states(spark, sf)))
+
+
+def digest_row_kept(spark: SparkSession, sf: str) -> DataFrame:
+    return _day(report.notification_of(_kept_states(spark, sf), BASE_URL, TITLE))
+
+
 _SETTINGS = Settings(groups=src.GROUPS, excluded=src.DOMAINS)
 
 
@@ -345,5 +371,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "digest_category_text": digest_category_text,
     "digest_preview": digest_preview,
     "digest_row": digest_row,
+    "category_counts_kept": category_counts_kept,
+    "digest_preview_kept": digest_preview_kept,
+    "digest_row_kept": digest_row_kept,
     "digest_cards": digest_cards,
 }

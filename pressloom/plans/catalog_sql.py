@@ -322,4 +322,7 @@ ORACLES |= {
     "date_window_files": ORACLES["date_window"],
     "kw_group_match_many": ORACLES["kw_group_match"],
     "domain_exclude_listed": ORACLES["domain_exclude"],
+    "category_counts_kept": ORACLES["category_counts"],
+    "digest_preview_kept": ORACLES["digest_preview"],
+    "digest_row_kept": ORACLES["digest_row"],
 }
