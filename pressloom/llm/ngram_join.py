@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.llm.components import components
-from pressloom.llm.shared import dropped, map_arrow, received, send, stored, utf8
+from pressloom.llm.shared import dropped, map_arrow, received, send, stored, utf8, without
 from pressloom.llm.words import SPACED, Words, mix, slices
 
 WORDS, PERCENT = 5, 80
@@ -271,21 +271,29 @@ def _fetched(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) ->
     ids = stored(classes.join(wanted, "fp").select("rep", "at", "fp"))
     small = ids.count() <= BROADCAST_ROWS
     named, nameless = (F.broadcast(i) if small else i for i in (ids.filter("rep is not null"), ids.filter("rep is null")))
-    texts = docs.select("doc_id", utf8("text").alias("text")).join(named, F.col("doc_id") == F.col("rep")).select("text", "fp")
+    rows = docs.select(F.col("doc_id").alias("rep"), utf8("text").alias("text"), F.xxhash64("text").alias("at"))
+    # Rows that share an id, were it all of them, meet the class of their own text only.
+    texts = rows.join(named, ["rep", "at"]).select("text", "fp")
     if not ids.filter("rep is null").isEmpty():  # no row of these classes has an id
-        others = docs.filter("doc_id is null").select(utf8("text").alias("text"), F.xxhash64("text").alias("at"))
-        texts = texts.unionAll(others.join(nameless, "at").dropDuplicates(["at"]).select("text", "fp"))
+        others = rows.filter("rep is null").drop("rep").join(nameless.drop("rep"), "at")
+        texts = texts.unionAll(others.dropDuplicates(["at"]).select("text", "fp"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for words in slices(batch.column(0), SPACED):
                 own = shingle_sets(words, k)
                 fps = batch.column(1).slice(words.row, len(own)).to_pylist()
-                # Another text may have the same doc_id.
+                # Another text may have the same hash.
                 kept = [(fp, s.tobytes()) for fp, s in zip(fps, own, strict=True) if fingerprint(s) == fp]
                 yield {"fp": [fp for fp, _ in kept], "shingles": [s for _, s in kept]}
 
-    return stored(map_arrow(texts, run, "fp long, shingles binary"))
+    sets = stored(map_arrow(texts, run, "fp long, shingles binary"))
+    again = stored(sets.groupBy("fp").count().filter("count > 1").select("fp"))
+    if again.isEmpty():
+        return sets
+    # Rows repeated with id and text; each would double the pairs of its class.
+    once = sets.join(again, "fp", "left_semi").dropDuplicates(["fp"])
+    return stored(without(sets, again, "fp").unionByName(once))
 
 
 def _possible(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -387,8 +395,10 @@ def clusters(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, list_size:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) per row."""
     profiles = _profiles(docs, k, sketch_bits)
     own = profiles.filter("sketch is null").select("doc_id", "n", "fp", "parity", "at")
-    one = [F.min("doc_id").alias("rep"), F.min("at").alias("at"), F.first("parity").alias("parity")]
-    classes = stored(own.filter("n > 0").groupBy("fp").agg(*one))
+    # The row with the smallest id, and the hash of its own text; rows without an id come last.
+    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("rep"), "at")).alias("least")
+    classes = own.filter("n > 0").groupBy("fp").agg(least, F.first("parity").alias("parity"))
+    classes = stored(classes.select("fp", "least.rep", "least.at", "parity"))
     sketch = send(docs.sparkSession, _sketch(profiles, sketch_bits))
     shared = _shared(_postings(docs, sketch, k, percent))
     sketch.destroy()

@@ -54,6 +54,19 @@ def test_op1_on_the_given_table(spark, small):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.clusters(pairs(small("documents")), 4, 85)
 
 
+def test_clusters_of_rows_that_share_one_id_and_are_repeated(spark):
+    rows = near_texts()
+    plain = brute.clusters(rows, 4, 85)
+    ids = {i: i if i % 3 == 0 else 500 for i, _ in rows}
+    least = {}
+    for i, (_, component) in plain.items():
+        least[component] = min(ids[i], least.get(component, ids[i]))
+    want = sorted((ids[i], n, least[component]) for i, (n, component) in plain.items())
+    docs = spark.createDataFrame([(ids[i], t) for i, t in rows], "doc_id long, text string")
+    got = ngram_join.clusters(docs.unionAll(docs).repartition(5), 4, 85, list_size=8).collect()
+    assert sorted(map(tuple, got)) == sorted(want + want)
+
+
 def test_clusters_of_odd_rows(spark, odd):
     got = ngram_join.clusters(odd, 4, 85).collect()
     assert len(got) == odd.count()
