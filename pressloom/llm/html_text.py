@@ -22,6 +22,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -34,6 +35,8 @@ TEMPLATE_PAGES = 5
 #: Up to so many templates of a host go along with each of its pages; of more, each page gets its own ones.
 HOST_LIST = 512
 BROADCAST_ROWS = 200_000
+#: Templates in the lists of hosts that are broadcast at once; of more, each lot of hosts is read for itself.
+LISTED = 1_000_000
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())
@@ -221,6 +224,28 @@ def _articles(root: Node) -> list[Node]:
     return []
 
 
+def _judged(node: Node, inside: bool, total: int) -> bool:
+    """Whether a template may take it. What holds most of an article is its text, on however many pages."""
+    return node.tag not in _ROOTS and (not inside or (node.tag in _CONTAINERS and 2 * node.size <= total))
+
+
+def asked(root: Node) -> set[int]:
+    """Hashes of the elements that ``text_of`` looks up among templates."""
+    articles = _articles(root)
+    inside, total = bool(articles), sum(a.size for a in articles)
+    found: set[int] = set()
+    rest = list(articles or [root])
+    while rest:
+        node = rest.pop()
+        if node.tag and not any(node is a for a in articles):
+            if _boilerplate(node, inside):
+                continue
+            if node.children and _judged(node, inside, total):
+                found.add(key(node))
+        rest += [c for c in node.children if isinstance(c, Node)]
+    return found
+
+
 def text_of(root: Node, templates: frozenset[int] | set[int] = frozenset()) -> str:
     """The main text of a page without the subtrees in ``templates``."""
     articles = _articles(root)
@@ -235,9 +260,7 @@ def text_of(root: Node, templates: frozenset[int] | set[int] = frozenset()) -> s
         if node.tag and not any(node is a for a in articles):
             if _boilerplate(node, inside):
                 continue
-            # What holds most of an article is its text, on however many pages.
-            judged = node.tag not in _ROOTS and (not inside or (node.tag in _CONTAINERS and 2 * node.size <= total))
-            if templates and judged and key(node) in templates:
+            if templates and _judged(node, inside, total) and key(node) in templates:
                 continue
         edge = [" "] if node.tag in _BLOCK or not node.tag else []
         rest += edge + node.children[::-1] + edge
@@ -250,31 +273,52 @@ def host(url: Column) -> Column:
     return F.regexp_replace(name, r"^www\.", "")
 
 
-def _subtrees(rows: DataFrame) -> DataFrame:
-    """host, page and subtree for rows of host, page, html."""
+def _subtrees(rows: DataFrame, only_asked: bool = False) -> DataFrame:
+    """host, page, subtree and whether the page's text depends on it, for rows of host, page, html."""
+
+    def own(page: str) -> list[tuple[int, bool]]:
+        root = parse(page)
+        needed = asked(root)
+        return [(h, h in needed) for h in (needed if only_asked else subtrees(root))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 100):
                 some = batch.slice(begin, 100)
-                own = [list(subtrees(parse(p))) for p in some.column(2).to_pylist()]
-                take = pa.array([i for i, s in enumerate(own) for _ in s], pa.int64())
-                yield {"host": some.column(0).take(take), "page": some.column(1).take(take), "subtree": [h for s in own for h in s]}
+                found = list(map(own, some.column(2).to_pylist()))
+                take = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
+                yield {
+                    "host": some.column(0).take(take),
+                    "page": some.column(1).take(take),
+                    "subtree": [h for f in found for h, _ in f],
+                    "asked": [a for f in found for _, a in f],
+                }
 
-    return map_arrow(rows.select("host", "page", "html"), run, "host string, page long, subtree long").distinct()
+    return map_arrow(rows.select("host", "page", "html"), run, "host string, page long, subtree long, asked boolean").distinct()
 
 
 def templates(rows: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
-    """host, subtree for the recurring subtrees among rows of host, page, html."""
-    many = _subtrees(rows).groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    return many.filter(F.col("n") >= least).select("host", "subtree")
+    """host, subtree for the recurring subtrees among rows of host, page, html that some page's text depends on."""
+    many = _subtrees(rows).groupBy("host", "subtree").agg(F.count("*").alias("n"), F.max("asked").alias("asked"))
+    return many.filter((F.col("n") >= least) & F.col("asked")).select("host", "subtree")
 
 
 def _small(df: DataFrame, size: int) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_ROWS else df
 
 
-def main_texts(pages: DataFrame, host_list: int = HOST_LIST) -> DataFrame:
+def _listed(rows: DataFrame, short: DataFrame, total: int, listed: int) -> DataFrame:
+    """``rows`` with the templates of their hosts; pages are never shuffled.
+
+    Hosts go in lots by hash, each with lists of ``listed`` templates or so, which are broadcast.
+    """
+    lots = -(-total // listed) or 1
+    lot = F.pmod(F.xxhash64("host"), F.lit(lots))
+    parts = [rows.filter(lot == i).join(F.broadcast(short.filter(lot == i)), "host", "left") for i in range(lots)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def main_texts(pages: DataFrame, host_list: int = HOST_LIST, listed: int = LISTED) -> DataFrame:
     """page_id, url, text and n_chars for every row of ``pages``."""
     html_ = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", host(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), html_.alias("html"))
@@ -283,13 +327,16 @@ def main_texts(pages: DataFrame, host_list: int = HOST_LIST) -> DataFrame:
     short = known.join(sizes.filter(F.col("size") <= host_list), "host")
     short = short.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
     total = sizes.filter(F.col("size") <= host_list).agg(F.sum("size")).first()[0] or 0
-    source = rows.join(_small(short, total), "host", "left")
     long = sizes.filter(F.col("size") > host_list).select("host")
-    if not long.isEmpty():
-        own = _subtrees(rows.join(F.broadcast(long) if long.count() <= BROADCAST_ROWS else long, "host"))
-        own = own.join(_small(known, known.count()), ["host", "subtree"])
-        own = own.groupBy("host", "page").agg(F.collect_list("subtree").alias("own"))
-        source = source.join(stored(own), ["host", "page"], "left").withColumn("templates", F.coalesce("own", "templates"))
+    if long.isEmpty():
+        source = _listed(rows, short, total, listed)
+    else:
+        long = _small(long, long.count())
+        source = _listed(rows.join(long, "host", "left_anti"), short, total, listed)
+        beside = rows.join(long, "host")
+        own = _subtrees(beside, only_asked=True).join(_small(known, known.count()), ["host", "subtree"])
+        own = stored(own.groupBy("host", "page").agg(F.collect_list("subtree").alias("templates")))
+        source = source.unionByName(beside.join(own, ["host", "page"], "left"))
     source = source.select("page_id", "url", "html", "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

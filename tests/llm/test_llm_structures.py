@@ -8,6 +8,7 @@ import brute
 import corpus_pipeline
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from pressloom.llm import chat, decontaminate, html_text, ngram_join, queries
 from pressloom.llm.components import components
@@ -111,6 +112,19 @@ def test_recurring_subtrees_of_a_host_are_deleted(spark):
     assert html_text.main_texts(pages.limit(0)).count() == 0
 
 
+def test_only_templates_that_change_a_text_are_kept(spark):
+    """What recurs in menus and as words of articles takes no room in the lists of a host."""
+    menu = "".join(f"<li><a href='/{i}'>{i}</a></li>" for i in range(30))
+    html_ = "<nav><ul>{}</ul></nav><article><div>Share this</div><p><b>Often</b> <i>said</i> of {} and more of it</p></article>"
+    rows = [(i, f"http://{h}.org/{i}", html_.format(menu, i)) for h in "ab" for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    known = html_text.templates(pages.select(html_text.host(F.col("url")).alias("host"), F.xxhash64("html").alias("page"), "html"))
+    assert sorted(r.host for r in known.collect()) == ["a.org", "b.org"]
+    for host_list, listed in ((html_text.HOST_LIST, html_text.LISTED), (html_text.HOST_LIST, 1), (0, 1)):
+        out = html_text.main_texts(pages, host_list, listed)
+        assert sorted((r.page_id, r.url, r.text) for r in out.collect()) == sorted((i, u, f"Often said of {i} and more of it") for i, u, _ in rows)
+
+
 def test_main_texts_are_not_lost_to_articles_in_boilerplate():
     def text(page):
         return html_text.text_of(html_text.parse(page))
