@@ -45,21 +45,15 @@ _BUCKETS = 1024
 #: Tables of token counts per task and queue up to this many rows are broadcast, larger ones joined.
 BROADCAST_ROWS = 1_000_000
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
-CACHE_CHUNKS, LONGEST = 1 << 18, 64
 
 _CELLS = 1 << 20
 
 
 class Tokens:
-    """Token ids of texts, through a cache of chunks.
+    """Token ids of texts, each encoded whole."""
 
-    A single space before a character that is no white space starts a new pre-token, whatever is
-    before it, and a space after such a character does so too; texts are split there only.
-    """
-
-    def __init__(self, ranks_path: str, cache_chunks: int = CACHE_CHUNKS):
+    def __init__(self, ranks_path: str):
         import base64
-        import re
 
         import public_tokenizers
         import tiktoken
@@ -67,35 +61,16 @@ class Tokens:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding("ids", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cache: dict[str, bytes] = {}
-        self.room = cache_chunks
-        self.blanks = re.compile(r"\s \s")
 
-    def _encode(self, chunk: str) -> bytes:
-        return np.asarray(self.bpe.encode_ordinary(chunk), np.uint16).tobytes()
-
-    def _plain(self, text: str) -> bytes:
-        if self.blanks.search(text):
-            return self._encode(text)
-        first, *rest = text.split(" ")
-        chunks = [first, *[" " + c for c in rest]]
-        parts = list(map(self.cache.get, chunks))
-        if None in parts:
-            if len(self.cache) > self.room:
-                self.cache.clear()
-            for i, part in enumerate(parts):
-                if part is None:
-                    parts[i] = part = self._encode(chunks[i])
-                    if len(chunks[i]) <= LONGEST:
-                        self.cache[chunks[i]] = part
-        return b"".join(parts)
+    def _encode(self, text: str) -> bytes:
+        return np.asarray(self.bpe.encode_ordinary(text), np.uint16).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian 16-bit ids."""
         if SPECIAL not in text:
-            return self._plain(text) if text else b""
+            return self._encode(text)
         special = np.asarray([SPECIAL_ID], np.uint16).tobytes()
-        return special.join(self._plain(t) if t else b"" for t in text.split(SPECIAL))
+        return special.join(map(self._encode, text.split(SPECIAL)))
 
 
 def _tag(source: object) -> str:

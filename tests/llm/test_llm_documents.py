@@ -321,6 +321,15 @@ def test_chunks_give_the_ids_of_whole_texts():
         assert np.frombuffer(model.encode(text), np.uint16).tolist() == ids[:-1]
 
 
+def test_a_text_is_encoded_by_one_call(monkeypatch):
+    """Not word by word, which costs more time than it saves."""
+    calls, encode = [], pack.Tokens._encode
+    monkeypatch.setattr(pack.Tokens, "_encode", lambda self, text: calls.append(text) or encode(self, text))
+    text = "the same and other words " * 50
+    ids = np.frombuffer(pack.Tokens(RANKS).encode(text), np.uint16).tolist()
+    assert calls == [text] and [*ids, 0] == hf_ids([(0, text)])[0]
+
+
 def test_overlaps_both_ways(spark, small, odd):
     items = [(1, "one two three"), (2, "One, two; THREE four five six seven eight nine ten eleven twelve"), (3, None), (4, ""), (5, "ab"), (6, "one two three")]
     items = spark.createDataFrame(items, "item_id long, text string")
