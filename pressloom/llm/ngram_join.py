@@ -16,8 +16,10 @@ The output is components, so no pair within a known component is looked at:
    Before whole sets are fetched, pairs are ruled out by parity bitmaps: the bits in which two differ
    are at most as many as the shingles in which the sets differ.
 3. Lists that still span several components yield the pairs between components; they are counted,
-   verified and linked. Lists too long for that are cut into blocks of bounded size, and every two
-   blocks are compared in one task by a matrix product, exactly.
+   verified and linked. In lists too long for that, pairs are tried by sizes and bitmaps first, in
+   blocks of bounded size. What is left of a block is verified pair by pair where that is little; else
+   the members that are left are cut into blocks, and every two blocks are compared in one task by a
+   matrix product, exactly. So whole sets travel for members that may be similar only.
 
 Null or empty texts have an empty set and are linked with nothing; with fewer words than a shingle
 has, the whole sequence is the only shingle. Rows are judged by their texts; rows without an id get
@@ -48,6 +50,8 @@ SKETCH_BITS = 21
 EXTENSIONS, VERIFY_COST = (1, 2, 3, 4, 6, 8), 8
 #: A list of up to so many classes is joined with itself; longer ones are compared in blocks.
 LIST, BLOCK_BYTES, LEAST_BYTES = 64, 4 << 20, 4096
+#: Members whose bitmaps meet in one task, and pairs a member that are verified one by one.
+SCREEN_ROWS, PAIRS_EACH = 1024, 4
 
 #: Up to so many documents to be fetched are picked by a broadcast of their ids, more by a join.
 BROADCAST_ROWS = 1_000_000
@@ -331,6 +335,65 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(joined.select("a", "b", "x", "y"), run, "a long, b long")
 
 
+def possible_pairs(n: np.ndarray, groups: np.ndarray, bitmaps: list[bytes], percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of all pairs of different groups, and sides if given, that sizes and parity bitmaps do not rule out."""
+    order = np.argsort(n, kind="stable")  # bitmaps grow with the sizes of their sets
+    n, groups = n[order], groups[order]
+    bits = np.asarray([len(bitmaps[k]) for k in order.tolist()])
+    begin = np.flatnonzero(np.append(True, bits[1:] != bits[:-1]))
+    ends = np.append(begin[1:], len(bits))
+    words = [np.frombuffer(b"".join(bitmaps[k] for k in order[a:b].tolist()), np.uint64).reshape(b - a, -1) for a, b in zip(begin, ends, strict=True)]
+    level = np.repeat(np.arange(len(begin)), ends - begin)
+    low = np.searchsorted(100 * n, percent * n)  # the first place whose set is not too small
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for at in range(len(n)):
+        own = words[level[at]][at - begin[level[at]]]
+        for k in range(level[min(low[at], at)], level[at] + 1):
+            a, b = max(low[at], begin[k]), min(at, ends[k])
+            if a >= b:
+                continue
+            js = a + np.flatnonzero(groups[a:b] != groups[at])
+            if side is not None:
+                js = js[side[order[js]] != side[order[at]]]
+            if not len(js):
+                continue
+            folded = np.bitwise_xor.reduce(own.reshape(-1, words[k].shape[1]), 0)
+            total = n[js] + n[at]
+            most = total + 2 * (-percent * total // (100 + percent))  # less twice the least overlap, rounded up
+            js = js[np.bitwise_count(words[k][js - begin[k]] ^ folded).sum(1, dtype=np.int64) <= most]
+            if len(js):
+                found.append((np.full(len(js), order[at]), order[js]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def _screened(lists: DataFrame, bitmaps: DataFrame, percent: int, rows_each: int, pairs_each: int) -> DataFrame:
+    """What bitmaps leave of long lists (token, fp, meta, group): pairs (a, b), or members (token, fp) where pairs are many."""
+    rows = lists.join(bitmaps.select("fp", "parity"), "fp")
+    # Lists of the same classes, as the shingles of one passage have, are looked through once.
+    same = [F.count("*").alias("size"), F.sum(F.shiftright(F.xxhash64("fp"), 24)).alias("sum"), F.bit_xor("fp").alias("xor")]
+    blocks = F.ceil(F.greatest(F.count("*") / rows_each, F.sum(_set_size("meta") / 2) / BLOCK_BYTES)).alias("blocks")
+    counts = lists.groupBy("token").agg(blocks, *same)
+    counts = counts.groupBy("size", "sum", "xor").agg(F.min(F.struct("token", "blocks")).alias("list"))
+    rows = rows.join(counts.select("list.*"), "token").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("token", "fp", _set_size("meta").alias("n"), "group", "parity", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        token, i, j = key
+        fp = part["fp"].to_numpy()
+        side = part["own"].to_numpy() if i != j else None
+        x, y = possible_pairs(part["n"].to_numpy(), part["group"].to_numpy(), part["parity"].tolist(), percent, side)
+        if len(x) <= pairs_each * len(fp):
+            return pd.DataFrame({"token": 0, "a": np.minimum(fp[x], fp[y]), "b": np.maximum(fp[x], fp[y])})
+        left = fp[np.unique(np.concatenate([x, y]))]
+        return pd.DataFrame({"token": token, "a": left, "b": pd.Series([None] * len(left), dtype="Int64")})
+
+    found = rows.groupBy("token", "i", "j").applyInPandas(run, "token long, a long, b long")
+    return stored(found.distinct())
+
+
 def similar_forest(fps: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect all similar sets of different groups: a spanning forest of them."""
     n = len(sets)
@@ -415,25 +478,30 @@ def clusters(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, list_size:
     groups = components(first).select(F.col("node").alias("fp"), "component")
     lists = shared.join(groups, "fp", "left").select("token", "fp", "meta", F.coalesce("component", "fp").alias("group"))
     lists = stored(lists)
+    dropped(shared)
     open_ = lists.groupBy("token").agg(F.count("*").alias("size"), F.min("group").alias("low"), F.max("group").alias("high"))
     open_ = stored(open_.filter("low < high").select("token", "size"))
     rows = lists.join(open_, "token")
     short, long = stored(rows.filter(F.col("size") <= list_size).drop("size")), stored(rows.filter(F.col("size") > list_size).drop("size"))
+    dropped(lists)
     other = short.select("token", F.col("fp").alias("b"), F.col("meta").alias("b_meta"), F.col("group").alias("b_group"))
     pairs = short.join(other, "token").filter((F.col("fp") < F.col("b")) & (F.col("group") != F.col("b_group")))
     pairs = pairs.filter(_sizes_fit("meta", "b_meta", percent))
     pairs = pairs.groupBy(F.col("fp").alias("a"), "b").agg(F.count("*").alias("times"), F.first("meta").alias("meta"), F.first("b_meta").alias("b_meta"))
     pairs = pairs.filter(F.col("times") >= _demanded("meta", "b_meta", percent))
     pairs = _possible(pairs.select("a", "b", _difference("meta", "b_meta", percent)), classes)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionAll(long.select("fp")).distinct()
+    left = _screened(long, classes, percent, SCREEN_ROWS, PAIRS_EACH)
+    pairs = stored(pairs.unionAll(left.filter("b is not null").select("a", "b")).distinct())
+    dense = stored(long.join(left.filter("b is null").select("token", F.col("a").alias("fp")), ["token", "fp"], "left_semi"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).unionAll(dense.select("fp")).distinct()
     sets = _fetched(docs, classes, stored(wanted), k)
-    links = first.unionAll(_verified(pairs, sets, percent)).unionAll(_blocks(long, sets, percent))
+    links = first.unionAll(_verified(pairs, sets, percent)).unionAll(_blocks(dense, sets, percent))
 
     label = components(links).select(F.col("node").alias("fp"), "component")
     label = stored(classes.join(label, "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("component")))
     least = stored(label.groupBy("component").agg(F.min("rep").alias("component_id")))
     label = stored(label.join(least, "component").select("fp", "component_id"))
-    for table in (shared, lists, short, long, sets):
+    for table in (short, long, dense, sets):
         dropped(table)
     found = own.join(label, "fp", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -94,6 +94,38 @@ def test_prefix_bound_is_never_too_high():
         assert ngram_join.differing(ngram_join.parity(x), ngram_join.parity(y)) <= len(x) + len(y) - 2 * both
 
 
+@pytest.mark.parametrize("cut", [False, True])
+def test_possible_pairs_are_those_that_sizes_and_bitmaps_allow(cut):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**64, 140, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[: int(rng.integers(20, 141))], rng.integers(0, 2**64, int(rng.integers(0, 20)), dtype=np.uint64)])) for _ in range(120)]
+    n, groups, side = np.array([len(s) for s in sets]), rng.integers(0, 60, 120), rng.integers(0, 2, 120)
+    bitmaps = [ngram_join.parity(s) for s in sets]
+    got = ngram_join.possible_pairs(n, groups, bitmaps, 80, side if cut else None)
+    most = lambda i, j: n[i] + n[j] - 2 * -(-80 * (n[i] + n[j]) // 180)
+    fits = lambda i, j: 100 * min(n[i], n[j]) >= 80 * max(n[i], n[j]) and ngram_join.differing(bitmaps[i], bitmaps[j]) <= most(i, j)
+    want = {(i, j) for i in range(120) for j in range(i) if groups[i] != groups[j] and (not cut or side[i] != side[j]) and fits(i, j)}
+    assert sorted((max(p), min(p)) for p in zip(*map(np.ndarray.tolist, got), strict=True)) == sorted(want) and want
+
+
+def test_sets_of_unlike_texts_with_a_shared_passage_do_not_travel(spark, monkeypatch):
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(60)]
+    own = lambda size: [f"o{rng.randrange(10**9)}" for _ in range(size)]
+    texts = [" ".join(own(half := rng.randrange(13)) + passage + own(12 - half)) for _ in range(150)]
+    texts += [t.rsplit(" ", 1)[0] + f" end{i}" for i, t in enumerate(texts[:20])]
+    rows, taken, fetched = list(enumerate(texts)), [], []
+    blocks, sets = ngram_join._blocks, ngram_join._fetched
+    monkeypatch.setattr(ngram_join, "_blocks", lambda lists, *rest: taken.append(lists.count()) or blocks(lists, *rest))
+    monkeypatch.setattr(ngram_join, "_fetched", lambda *given: fetched.append(sets(*given)) or fetched[-1])
+    counts = []
+    dropped = ngram_join.dropped
+    monkeypatch.setattr(ngram_join, "dropped", lambda table: (counts.append(table.count()) if any(table is f for f in fetched) else None) or dropped(table))
+    got = ngram_join.clusters(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, list_size=16).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.clusters(rows, 5, 80)
+    assert taken == [0] and counts[-1] <= 60
+
+
 def test_quality_base_rules(spark, small, odd):
     rng = random.Random(1)
     texts = [" ".join(rng.choice("ab") for _ in range(rng.randrange(60))) for _ in range(150)] + ["a \x0b b\n\n \nc\nc"]
