@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pressloom.llm import decontaminate, language, ngram_join, pack, pii
 from pressloom.llm.queries import TARGETS
-from pressloom.llm.shared import documents, fresh, stored, without
+from pressloom.llm.shared import documents, dropped, fresh, stored, without
 
 #: A document goes if less than this share of its n-grams belongs to any one language.
 LEAST_SCORE = 0.4
@@ -32,11 +32,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     found = ngram_join.clusters(keyed.select(F.col(key).alias("doc_id"), "text"))
     found = found.groupBy(F.col("doc_id").alias(key), "component_id").agg(F.count("*").alias("copies"))
-    found = stored(found.join(keyed.select(key, F.col("doc_id").alias("id")).distinct(), key))
+    named = stored(found.join(keyed.select(key, F.col("doc_id").alias("id")).distinct(), key))
     first = F.min(F.struct(F.col("id").isNull(), "id", key))[key].alias("first")
-    found = stored(found.join(found.groupBy("component_id").agg(first), "component_id"))
+    found = stored(named.join(named.groupBy("component_id").agg(first), "component_id"))
+    dropped(named)
     kept = without(keyed, found.filter(F.col(key) != F.col("first")), key)
     repeated = stored(found.filter((F.col("copies") > 1) & (F.col(key) == F.col("first"))).select(key))
+    dropped(found)  # its ids are tables of their own by now
     if repeated.isEmpty():
         return kept.select(*docs.columns)
     rest = kept.join(repeated, key, "left_semi").dropDuplicates([key])

@@ -1,6 +1,7 @@
 """Conversations, pages, components and the pipeline."""
 
 import html
+import random
 import re
 from collections import defaultdict
 
@@ -216,3 +217,22 @@ def test_pipeline_equals_plain_decisions(spark, small):
     assert {r.doc_id for r in found.collect()} == clean
     safe = stages["pii"](spark, found, SF)
     assert all(brute.private(r.text)[:4] == (0, 0, 0, 0) and r.n_chars == len(r.text) for r in safe.collect())
+
+
+def test_near_duplicates_of_a_common_passage_leave_little_on_disk(spark, monkeypatch):
+    """Unlike texts that share a passage are ruled out before their sets are sent, and no table of links is left."""
+    rng = random.Random(8)
+    own = lambda size: " ".join(f"o{rng.randrange(10**9)}" for _ in range(size))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{own(half := 1 + rng.randrange(11))} {passage} {own(12 - half)}" for _ in range(120)]
+    texts += [t + " end" for t in texts[:10]]
+    taken, kept, gone = [], [], []
+    blocks, stored, dropped = corpus_pipeline.ngram_join._blocks, corpus_pipeline.stored, corpus_pipeline.dropped
+    monkeypatch.setattr(corpus_pipeline.ngram_join, "_blocks", lambda lists, *rest: taken.append(lists.count()) or blocks(lists, *rest))
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    monkeypatch.setattr(corpus_pipeline, "dropped", lambda df: gone.append(df.columns) or dropped(df))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rest = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in rest) == list(range(120))
+    assert taken == [0]
+    assert gone == [t.columns for t in kept[:2]] and len(kept) == 3
