@@ -3,10 +3,12 @@
 import os
 import random
 
+import numpy as np
 import pytest
 from models import ratio
 from pyspark.sql import functions as F
 
+from pressloom.functions import similarity
 from pressloom.functions.phrases import Phrases
 from pressloom.operators import dedup, search, title_candidates, titles
 from pressloom.plans import tables
@@ -122,3 +124,45 @@ def test_issue_files_are_replaced_whole_or_not_at_all(spark, tmp_path):
     archive.write_issue_files(issue(days[1:], "new"), path)
     assert stored() == want((days[0], "old"), (days[1], "new"), (days[2], "new"))
     assert sorted(os.listdir(path)) == [f"articles-{d}.json" for d in days]
+
+
+def test_groups_of_any_size_give_the_first_match_of_each_title(monkeypatch):
+    monkeypatch.setattr(similarity, "_PAIRS_AT_ONCE", 500)
+    rng = random.Random(11)
+    titles_, groups = [], []
+    for group, size in enumerate([1, 3, 31, 70, 2, 150]):
+        for _ in range(size):
+            length = rng.choice([0, 3, 12, 40, 70, 130, 300]) if group % 2 else rng.choice([8, 9, 10])
+            titles_.append("".join(rng.choice("ab c") for _ in range(length)))
+            groups.append(group)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(4200))
+    titles_, groups = titles_ + [long, long[:64] + long[70:]], groups + [9, 9]
+    filled = [k for k, t in enumerate(titles_) if t]
+    titles_, groups = [titles_[k] for k in filled], np.array(groups)[filled]
+    want = {}
+    for i, t in enumerate(titles_):
+        for j in range(i):
+            if groups[i] == groups[j] and (r := ratio(t, titles_[j])) >= 0.75:
+                want[i] = (j, r)
+                break
+    got = similarity.first_matches_in_groups(titles_, groups, 0.75)
+    assert {i: (j, r) for i, j, r in got} == want and len(got) == len(want)
+
+
+def test_families_are_compared_without_a_call_for_each(spark, monkeypatch):
+    """Crowded buckets that are not huge go through the calls that hold many buckets."""
+    rng = random.Random(12)
+    bases = ["".join(rng.choice("abcdefghij ") for _ in range(50)) for _ in range(20)]
+    rows = [(f * 1000 + k, base[:-2] + f"{k:02d}") for f, base in enumerate(bases) for k in range(40)]
+    df = spark.createDataFrame(rows, "seq long, title string")
+
+    def blocks(*_):
+        raise AssertionError("searched in blocks")
+
+    with monkeypatch.context() as own:
+        own.setattr(title_candidates, "first_rivals", blocks)
+        got = {r.later_seq: r.earlier_seq for r in title_candidates.first_similar_candidates(df).collect()}
+    assert len(got) >= 770 and all(seq // 1000 == first // 1000 and first < seq for seq, first in got.items())
+    monkeypatch.setattr(title_candidates, "FAMILY", 20)
+    again = {r.later_seq: r.earlier_seq for r in title_candidates.first_similar_candidates(df).collect()}
+    assert again == got
